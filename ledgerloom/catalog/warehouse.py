@@ -39,15 +39,17 @@ class Warehouse:
     def read(self, layer: str, name: str) -> DataFrame:
         with self.lock:
             if not self.store.exists(layer, name):
-                partition = ["logical_date"] if layer == "bronze" else None
+                partition = ["logical_date"] if layer in ("feed", "bronze") else None
                 self.store.write(self.build(layer, name), layer, name, partition)
         return self.store.read(layer, name)
 
     def build(self, layer: str, name: str) -> DataFrame:
         """The unwritten plan of a table over its stored inputs."""
+        if layer == "feed":
+            return feeds.csv_feed(self.spark, self.sf_dir, name)
         if layer == "bronze":
             entity = next(n for n, s in ENTITIES.items() if s.table == name)
-            return feeds.bronze_feed(self.spark, self.sf_dir, entity)
+            return feeds.as_bronze(self.feed(entity), entity)
         if layer == "current":
             return latest_version(self.bronze(name), ENTITIES[name])
         return BUILDERS[layer, name](self.read)
@@ -66,7 +68,7 @@ class Warehouse:
 
     # --- batches as text -----------------------------------------------------
     def feed(self, entity: str) -> DataFrame:
-        return feeds.csv_feed(self.spark, self.sf_dir, entity)
+        return self.read("feed", entity)
 
     def dirty_batch(self) -> dict[str, DataFrame]:
         """The batch of the day after the feed, in which most rules are broken by some rows."""
@@ -86,13 +88,13 @@ class Warehouse:
             root = f"{self.store.root}/incoming"
             if not self.landed:
                 for entity, spec in ENTITIES.items():
-                    rows = self.feed(entity).withColumn("_hash", source_record_hash(spec))
+                    sorted_path = f"{root}-sorted/{entity}"
+                    ordered = self.feed(entity).orderBy("logical_date", "source_row_number", source_record_hash(spec))
+                    ordered.select(*spec.csv_columns, "logical_date").write.options(**LANDING_WRITE).partitionBy(
+                        "logical_date").csv(sorted_path)
                     for date in feeds.DATES:
-                        one = rows.where(F.col("logical_date") == F.lit(date).cast("date"))
-                        one.orderBy("source_row_number", "_hash").select(*spec.csv_columns).write.options(
-                            **LANDING_WRITE
-                        ).csv(f"{root}/{date}/{entity}.csv")
-                        self.landed[date] = f"{root}/{date}"
+                        self.store.files.move(f"{sorted_path}/logical_date={date}", f"{root}/{date}/{entity}.csv")
+                self.landed = {date: f"{root}/{date}" for date in feeds.DATES}
         return self.landed[day] if day else root
 
     # --- control and run history, from events ---------------------------------

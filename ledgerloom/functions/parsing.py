@@ -23,7 +23,7 @@ ISO_LOCAL = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}([.,]\d+)?)?)?\z"
 
 def _calendar_day(c: Column) -> Column:
     day = F.substring(c, 1, 10)
-    return F.when(c.rlike(DATE_PREFIX) & (F.substring(c, 1, 4) != "0000"), F.try_to_date(day, "yyyy-MM-dd"))
+    return F.when(c.rlike(DATE_PREFIX) & (F.substring(c, 1, 4) != "0000"), day.try_cast("date"))
 
 
 def parse_day(c: Column) -> Column:
@@ -38,7 +38,7 @@ def parse_date(c: Column) -> Column:
 
 def parse_whole_date(c: Column) -> Column:
     """A text that is exactly one calendar day, for tracking columns."""
-    return F.when(c.rlike(WHOLE_DATE), _calendar_day(c))
+    return F.when(c.rlike(WHOLE_DATE) & ~c.startswith("0000"), c.try_cast("date"))
 
 
 def bool_value(c: Column) -> Column:
@@ -77,15 +77,16 @@ def bad_number(c: Column, pattern: str, wrong: Column) -> Column:
 
 def parse_utc_timestamp(c: Column) -> Column:
     """ISO text whose offset is mandatory, as an instant."""
-    text = F.translate(strip_all(c), ",", ".")
-    bare_hours = F.regexp_replace(text, r"([+-]\d{2})\z", "$1:00")
-    compact = F.regexp_replace(bare_hours, r"([+-]\d{2})(\d{2})\z", "$1:$2")
-    return F.when(text.rlike(ISO_WITH_OFFSET), compact.try_cast("timestamp"))
+    text = strip_all(c)
+    plain = F.replace(text, F.lit(","), F.lit("."))
+    bare_hours = F.substring(text, -3, 1).isin("+", "-")
+    full = F.when(bare_hours, F.concat(plain, F.lit(":00"))).otherwise(plain)
+    return F.when(text.rlike(ISO_WITH_OFFSET), full.try_cast("timestamp"))
 
 
 def lacks_offset(c: Column) -> Column:
     """A readable ISO time that fails only because no offset is given."""
-    text = F.translate(strip_all(c), ",", ".")
+    text = F.replace(strip_all(c), F.lit(","), F.lit("."))
     return text.rlike(ISO_LOCAL) & text.try_cast("timestamp_ntz").isNotNull()
 
 

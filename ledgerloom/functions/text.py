@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 
 from ledgerloom import specs
 
+# Every character a Unicode-aware strip removes.
+WHITE_SPACE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(
+    chr(code) for code in range(0x2000, 0x200B)
+)
 WORD_RUNS = r"([\p{L}\p{N}]+|[^\p{L}\p{N}]+)"
 
 
@@ -17,7 +21,7 @@ def text_clean(c: Column) -> Column:
 
 def strip_all(c: Column) -> Column:
     """Trim every kind of white space, as batch validation does; NULL becomes empty."""
-    return F.regexp_replace(F.coalesce(c, F.lit("")), r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z", "")
+    return F.trim(F.coalesce(c, F.lit("")), F.lit(WHITE_SPACE))
 
 
 def normalise_operation(c: Column) -> Column:

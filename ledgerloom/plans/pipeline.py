@@ -116,7 +116,7 @@ class Pipeline:
         """Parse the files once into numbered text rows that later steps read."""
         staged = {}
         for name, spec in ENTITIES.items():
-            rows = landing.with_row_number(landing.read_entity_csv(self.spark, directory, spec))
+            rows = landing.with_row_number(landing.read_entity_csv(self.spark, directory, spec)).drop("_file")
             path = f"{self.store.path('staging', attempt)}/{name}"
             rows.write.parquet(path)
             staged[name] = self.spark.read.schema(rows.schema).parquet(path)

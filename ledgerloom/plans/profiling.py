@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.parsing import parse_date
@@ -17,13 +17,27 @@ def missing(c: Column) -> Column:
     return c.isNull() | (c == "")
 
 
+def by_column(df: DataFrame, columns: list[str]) -> DataFrame:
+    """One (column_name, value) row per cell, so all columns share one small set of aggregates."""
+    cells = [F.struct(F.lit(c).alias("column_name"), F.col(c).alias("value")) for c in columns]
+    return df.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*")
+
+
+def in_order(profile: DataFrame, entity: str, columns: list[str], *measures: Column) -> DataFrame:
+    """A row for every column, also those of an empty batch."""
+    names = df_of_names(profile.sparkSession, columns)
+    return names.join(profile, "column_name", "left").select(F.lit(entity).alias("table_name"), "column_name", *measures)
+
+
+def df_of_names(spark: SparkSession, columns: list[str]) -> DataFrame:
+    names = F.explode(F.array(*[F.lit(c) for c in columns])).alias("column_name")
+    return spark.range(1).select(names)
+
+
 def null_counts(df: DataFrame, entity: str, columns: list[str]) -> DataFrame:
     """Missing values per column, in one pass."""
-    totals = df.agg(F.count("*").alias("row_count"), *[F.count_if(missing(F.col(c))).alias(c) for c in columns])
-    rows = [F.struct(F.lit(c).alias("column_name"), F.col(c).alias("null_count")) for c in columns]
-    return totals.select(F.lit(entity).alias("table_name"), F.explode(F.array(*rows)).alias("r")).select(
-        "table_name", "r.column_name", "r.null_count"
-    )
+    counted = by_column(df, columns).groupBy("column_name").agg(F.count_if(missing(F.col("value"))).alias("null_count"))
+    return in_order(counted, entity, columns, F.coalesce("null_count", F.lit(0).cast("bigint")).alias("null_count"))
 
 
 def row_counts(df: DataFrame, entity: str) -> DataFrame:
@@ -46,32 +60,24 @@ def inferred_types(df: DataFrame, entity: str, columns: list[str]) -> DataFrame:
 
     No present value: double. Values readable as whole numbers beside missing ones: double.
     """
-    def facts(c: str) -> list[Column]:
-        v = F.col(c)
-        shown = ~missing(v)
-        return [
-            F.count_if(shown).alias(f"{c}__n"),
-            F.count_if(shown & v.rlike(r"^\s*[+-]?\d+\s*\z") & v.try_cast("bigint").isNotNull()).alias(f"{c}__int"),
-            F.count_if(shown & v.try_cast("double").isNotNull()).alias(f"{c}__num"),
-            F.count_if(shown & F.lower(v).isin("true", "false")).alias(f"{c}__bool"),
-        ]
-
-    totals = df.agg(F.count("*").alias("__rows"), *[f for c in columns for f in facts(c)])
-
-    def kind(c: str) -> Column:
-        n = F.col(f"{c}__n")
-        return (
-            F.when(n == 0, "double")
-            .when((F.col(f"{c}__int") == n) & (n == F.col("__rows")), "bigint")
-            .when(F.col(f"{c}__num") == n, "double")
-            .when((F.col(f"{c}__bool") == n) & (n == F.col("__rows")), "boolean")
-            .otherwise("string")
-        )
-
-    rows = [F.struct(F.lit(c).alias("column_name"), kind(c).alias("column_type")) for c in columns]
-    return totals.select(F.lit(entity).alias("table_name"), F.explode(F.array(*rows)).alias("r")).select(
-        "table_name", "r.column_name", "r.column_type"
+    v = F.col("value")
+    shown = ~missing(v)
+    facts = by_column(df, columns).groupBy("column_name").agg(
+        F.count("*").alias("n_rows"),
+        F.count_if(shown).alias("n"),
+        F.count_if(shown & v.rlike(r"^\s*[+-]?\d+\s*\z") & v.try_cast("bigint").isNotNull()).alias("n_int"),
+        F.count_if(shown & v.try_cast("double").isNotNull()).alias("n_number"),
+        F.count_if(shown & F.lower(v).isin("true", "false")).alias("n_bool"),
+    )
+    whole = F.col("n") == F.col("n_rows")
+    kind = (
+        F.when(F.coalesce("n", F.lit(0)) == 0, "double")
+        .when((F.col("n_int") == F.col("n")) & whole, "bigint")
+        .when(F.col("n_number") == F.col("n"), "double")
+        .when((F.col("n_bool") == F.col("n")) & whole, "boolean")
+        .otherwise("string")
     )
+    return in_order(facts, entity, columns, kind.alias("column_type"))
 
 
 def truthy(c: Column) -> Column:

@@ -21,7 +21,7 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, memory: str = "
     builder = (
         SparkSession.builder.master(f"local[{cores}]").appName("ledgerloom")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.driver.memory", memory).config("spark.ui.enabled", "false")
+        .config("spark.driver.memory", memory).config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     )
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)

@@ -194,6 +194,15 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal a table that sits in fewer splits than there are cores to all of them.
+
+    A table of many splits is left as it is read, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def csv_feed(spark: SparkSession, sf_dir: str, entity: str, changes: list[Change] | None = None) -> DataFrame:
     """The feed of one entity as the CSV text columns, its date and row number.
 
@@ -201,9 +210,9 @@ def csv_feed(spark: SparkSession, sf_dir: str, entity: str, changes: list[Change
     """
     rule, spec = FEEDS[entity], ENTITIES[entity]
     slices = changes or CHANGES
-    base = read_table(spark, sf_dir, rule.source).selectExpr(
+    base = spread(read_table(spark, sf_dir, rule.source).selectExpr(
         f"{rule.key} as k", *[f"{source} as {name}" for name, source in rule.carried.items()]
-    )
+    ))
     applied = [
         F.when(F.expr(c.when), F.struct(
             F.lit(i).alias("n"), F.lit(c.logical_date).alias("day"), F.lit(c.operation).alias("op"),
@@ -232,12 +241,11 @@ def csv_feed(spark: SparkSession, sf_dir: str, entity: str, changes: list[Change
     return shaped
 
 
-def bronze_feed(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
+def as_bronze(feed: DataFrame, entity: str) -> DataFrame:
     """The feed as raw-layer rows."""
     day = F.col("logical_date")
     name = source_file(entity, day)
-    ingested_at = (day.cast("timestamp") + F.expr("interval 26 hours"))
+    ingested_at = day.cast("timestamp") + F.expr("interval 26 hours")
     return to_bronze(
-        csv_feed(spark, sf_dir, entity), ENTITIES[entity], batch_id(F.lit(specs.DEFAULT_PIPELINE), day), day,
-        name, F.sha2(name, 256), ingested_at,
+        feed, ENTITIES[entity], batch_id(F.lit(specs.DEFAULT_PIPELINE), day), day, name, F.sha2(name, 256), ingested_at
     )

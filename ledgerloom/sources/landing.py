@@ -5,7 +5,7 @@ from __future__ import annotations
 import csv
 import io
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -14,6 +14,7 @@ from ledgerloom.sources.store import Files
 from ledgerloom.specs import ENTITIES, EntitySpec
 
 FIRST_DATA_ROW = 2
+ARRIVAL_DATE = r"/(\d{4}-\d{2}-\d{2})/"
 # RFC 4180 quoting: a doubled quote inside a quoted field, nothing trimmed.
 CSV_OPTIONS = {"header": True, "encoding": "UTF-8", "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
 
@@ -22,6 +23,10 @@ def entity_path(directory: str, spec: EntitySpec) -> str:
     return f"{directory.rstrip('/')}/{spec.name}.csv"
 
 
+def entity_paths(directories: str | list[str], spec: EntitySpec) -> list[str]:
+    return [entity_path(d, spec) for d in ([directories] if isinstance(directories, str) else directories)]
+
+
 def missing_files(spark: SparkSession, directory: str) -> list[str]:
     found = set(Files(spark).names(directory))
     return [f"{name}.csv" for name in ENTITIES if f"{name}.csv" not in found]
@@ -59,21 +64,21 @@ def check_header(spark: SparkSession, directory: str, spec: EntitySpec) -> None:
         raise ValueError(f"Unexpected header for {spec.name}. Expected {spec.csv_columns}, got {got}")
 
 
-def has_quoted_line_breaks(spark: SparkSession, path: str) -> bool:
+def has_quoted_line_breaks(spark: SparkSession, paths: list[str]) -> bool:
     """Whether some field spans lines: then a line holds an odd number of quotes."""
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    return not spark.read.text(path).where(quotes % 2 == 1).isEmpty()
+    return not spark.read.text(paths).where(quotes % 2 == 1).isEmpty()
 
 
-def read_entity_csv(spark: SparkSession, directory: str, spec: EntitySpec) -> DataFrame:
-    """All columns as text, missing values empty, operation normalised.
+def read_entity_csv(spark: SparkSession, directories: str | list[str], spec: EntitySpec) -> DataFrame:
+    """All columns of one or more batches as text, missing values empty, operation normalised.
 
     Files are split between tasks unless a quoted field spans lines; then each part
     file is read whole, as a split could start inside a field.
     """
-    path = entity_path(directory, spec)
-    whole = has_quoted_line_breaks(spark, path)
-    raw = spark.read.options(**CSV_OPTIONS, multiLine=whole).schema(spec.csv_schema).csv(path)
+    paths = entity_paths(directories, spec)
+    whole = has_quoted_line_breaks(spark, paths)
+    raw = spark.read.options(**CSV_OPTIONS, multiLine=whole).schema(spec.csv_schema).csv(paths)
     texts = [F.coalesce(F.col(c), F.lit("")).alias(c) for c in spec.columns]
     return raw.select(
         *texts,
@@ -86,20 +91,27 @@ def read_entity_csv(spark: SparkSession, directory: str, spec: EntitySpec) -> Da
     )
 
 
+def arrival_date(file_path: Column) -> Column:
+    """The logical date in a landed file's path."""
+    return F.to_date(F.regexp_extract(file_path, ARRIVAL_DATE, 1))
+
+
 def with_row_number(read: DataFrame) -> DataFrame:
-    """Number rows as in the file, the first data row being 2.
+    """Number rows as in the file (the part files of one batch being one), the first data row being 2.
 
     Inside a split the reader's order is file order. Counts per split, summed over earlier
     splits, give each split's start; that table has one row per split, not per record.
     """
     splits = read.groupBy("_file", "_block").agg(F.min("_at").alias("_first"), F.count("*").alias("_rows"))
-    earlier = F.sum("_rows").over(W.orderBy("_file", "_block").rowsBetween(W.unboundedPreceding, -1))
+    whole_file = F.regexp_extract("_file", r"^(.*?\.csv)", 1)
+    order = W.partitionBy(whole_file).orderBy("_file", "_block")
+    earlier = F.sum("_rows").over(order.rowsBetween(W.unboundedPreceding, -1))
     starts = splits.select(
         "_file", "_block", (F.coalesce(earlier, F.lit(0)) + FIRST_DATA_ROW - F.col("_first")).alias("_shift")
     )
     numbered = read.join(starts, ["_file", "_block"])
     return numbered.withColumn("source_row_number", (F.col("_at") + F.col("_shift")).cast("int")).drop(
-        "_file", "_block", "_at", "_shift"
+        "_block", "_at", "_shift"
     )
 
 

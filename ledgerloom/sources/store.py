@@ -65,10 +65,12 @@ class Files:
         context = self._hadoop.FileContext.getFileContext(beside.toUri(), self._conf)
         context.rename(beside, self._hadoop.Path(path), modes)
 
-    def rename(self, source: str, target: str) -> None:
+    def move(self, source: str, target: str) -> None:
         start, fs = self._at(source)
-        if not fs.rename(start, self._hadoop.Path(target)):
-            raise OSError(f"cannot rename {source} to {target}")
+        end = self._hadoop.Path(target)
+        fs.mkdirs(end.getParent())
+        if not fs.rename(start, end):
+            raise OSError(f"cannot move {source} to {target}")
 
 
 def layer_path(root: str, layer: str) -> str:

@@ -9,18 +9,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from ledgerloom import specs
 from ledgerloom.functions.keys import batch_id, source_file
 from ledgerloom.functions.text import normalise_operation
 from ledgerloom.sources.bronze import new_versions, to_bronze
-from ledgerloom.sources.landing import CSV_OPTIONS
+from ledgerloom.sources.landing import CSV_OPTIONS, arrival_date
 from ledgerloom.sources.store import Files
 from ledgerloom.specs import ENTITIES, EntitySpec
 
-ARRIVAL_DATE = r"/(\d{4}-\d{2}-\d{2})/"
-
-
 def landing_stream(spark: SparkSession, directory: str, spec: EntitySpec) -> DataFrame:
     """New files of one entity from the dated directories below ``directory``."""
     raw = (
@@ -31,7 +29,7 @@ def landing_stream(spark: SparkSession, directory: str, spec: EntitySpec) -> Dat
     return raw.select(
         *texts, normalise_operation(F.col("operation")).alias("operation"),
         F.col("_metadata.file_path").alias("_file"),
-        F.to_date(F.regexp_extract(F.col("_metadata.file_path"), ARRIVAL_DATE, 1)).alias("logical_date"),
+        arrival_date(F.col("_metadata.file_path")).alias("logical_date"),
     )
 
 
@@ -45,10 +43,10 @@ def as_bronze(rows: DataFrame, spec: EntitySpec, pipeline: str, ingested_at: Col
     )
 
 
-def ingest_available(
+def start_ingest(
     spark: SparkSession, directory: str, bronze_path: str, checkpoint: str, spec: EntitySpec,
     pipeline: str = specs.DEFAULT_PIPELINE,
-) -> None:
+) -> StreamingQuery:
     """Append everything that has arrived since the last run, then stop."""
     files = Files(spark)
 
@@ -64,18 +62,18 @@ def ingest_available(
         fresh = new_versions(same_days, batch).select(*batch.columns)
         fresh.write.mode("append").partitionBy("logical_date").parquet(bronze_path)
 
-    query = (
+    return (
         landing_stream(spark, directory, spec).writeStream.foreachBatch(append)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
-    query.awaitTermination()
 
 
 def ingest_all(spark: SparkSession, directory: str, bronze_root: str, checkpoint_root: str) -> dict[str, DataFrame]:
-    """Run every entity's stream to the end of what has arrived; returns the raw tables."""
-    tables = {}
-    for name, spec in ENTITIES.items():
-        path = f"{bronze_root}/{spec.table}"
-        ingest_available(spark, directory, path, f"{checkpoint_root}/{name}", spec)
-        tables[name] = spark.read.schema(spec.bronze_schema).parquet(path)
-    return tables
+    """Run the entities' streams side by side to the end of what has arrived; returns the raw tables."""
+    paths = {name: f"{bronze_root}/{spec.table}" for name, spec in ENTITIES.items()}
+    running = [
+        start_ingest(spark, directory, paths[name], f"{checkpoint_root}/{name}", spec) for name, spec in ENTITIES.items()
+    ]
+    for stream in running:
+        stream.awaitTermination()
+    return {n: spark.read.schema(s.bronze_schema).parquet(paths[n]) for n, s in ENTITIES.items()}
