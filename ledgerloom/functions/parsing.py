@@ -78,9 +78,12 @@ def bad_number(c: Column, pattern: str, wrong: Column) -> Column:
 def parse_utc_timestamp(c: Column) -> Column:
     """ISO text whose offset is mandatory, as an instant."""
     text = strip_all(c)
-    plain = F.replace(text, F.lit(","), F.lit("."))
+    point = F.replace(text, F.lit(","), F.lit("."))
+    # The cast wants seconds before an offset, and minutes in it.
+    no_seconds = F.substring(text, 17, 1) != ":"
+    with_seconds = F.when(no_seconds, F.overlay(point, F.lit(":00"), F.lit(17), F.lit(0))).otherwise(point)
     bare_hours = F.substring(text, -3, 1).isin("+", "-")
-    full = F.when(bare_hours, F.concat(plain, F.lit(":00"))).otherwise(plain)
+    full = F.when(bare_hours, F.concat(with_seconds, F.lit(":00"))).otherwise(with_seconds)
     return F.when(text.rlike(ISO_WITH_OFFSET), full.try_cast("timestamp"))
 
 

@@ -16,14 +16,14 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: str = "8", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
+def local_session(cores: str = "8", shuffle_partitions: int = 8, memory: str = "8g", **extra: str) -> SparkSession:
     """For tests and the benchmark."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]").appName("ledgerloom")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", memory).config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     )
-    for key, value in SETTINGS.items():
+    for key, value in (SETTINGS | extra).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -13,11 +13,17 @@ POINTER = "_current"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach. Only where none is named do we make our own."""
-    named = spark.conf.get(CHECKPOINT_SETTING, None)
+    """The folder every executor can reach, as the session names it.
+
+    Only a local session without the setting gets a folder of its own.
+    """
+    context = spark.sparkContext
+    named = spark.conf.get(CHECKPOINT_SETTING, None) or context.getCheckpointDir()
     if not named:
-        named = tempfile.mkdtemp(prefix="ledgerloom-")
-        spark.conf.set(CHECKPOINT_SETTING, named)
+        if not context.master.startswith("local"):
+            raise RuntimeError(f"{CHECKPOINT_SETTING} must name a folder that all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerloom-"))
+        named = context.getCheckpointDir()
     return named.rstrip("/")
 
 
