@@ -482,7 +482,7 @@ def test_no_negative_revenue(w: Warehouse) -> DataFrame:
     return datatests.no_negative_revenue(orders, items)
 
 
-simple("data_test_suite", lambda w: datatests.run_suite(w.read))
+simple("data_test_suite", lambda w: datatests.run_suite(w.spark, w.read))
 
 
 # --- batch validation ---------------------------------------------------------------------------
@@ -495,8 +495,10 @@ simple("batch_row_errors", lambda w: each(lambda n, s: validate.row_errors(w.dir
 simple("batch_dup_keys", lambda w: each(lambda n, s: validate.duplicate_keys(w.dirty_batch()[n], s)))
 simple("batch_dup_versions", lambda w: each(lambda n, s: validate.duplicate_versions(w.dirty_batch()[n], s)))
 simple("batch_missing_keys", lambda w: each(lambda n, s: validate.missing_keys(w.dirty_batch()[n], known_keys(w)[n], s)))
-simple("batch_ref_errors", lambda w: validate.reference_errors(w.dirty_batch(), known_keys(w)))
-simple("batch_errors", lambda w: validate.first_errors(validate.batch_errors(w.dirty_batch(), known_keys(w), day(DIRTY_DAY))))
+simple("batch_ref_errors", lambda w: union_all([
+    frame for e in ENTITIES for frame in validate.reference_errors(w.dirty_batch(), w.dirty_available(), e)]))
+simple("batch_errors", lambda w: validate.first_errors(
+    validate.batch_errors(w.dirty_batch(), known_keys(w), w.dirty_available(), day(DIRTY_DAY))))
 simple("batch_metrics", lambda w: each(lambda n, s: bronze.batch_metrics(w.bronze(n), ["batch_id", "logical_date"]).withColumn(
     "entity", F.lit(n))))
 

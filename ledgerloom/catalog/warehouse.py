@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 import threading
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom import specs
 from ledgerloom.functions.keys import batch_id, source_record_hash
-from ledgerloom.operators.versions import latest_version
+from ledgerloom.operators.versions import available_keys, current_keys, latest_version
 from ledgerloom.plans.control import MANY_FILES, watermark_candidates
 from ledgerloom.plans.pipeline import BUILDERS
-from ledgerloom.session import use_utc
+from ledgerloom.plans.validate import PARENTS
+from ledgerloom.session import run_together, use_utc
 from ledgerloom.sources import feeds
 from ledgerloom.sources.store import TableStore, fresh_dir
 from ledgerloom.specs import ENTITIES
@@ -37,16 +39,28 @@ class Warehouse:
 
     # --- layers ------------------------------------------------------------
     def read(self, layer: str, name: str) -> DataFrame:
+        """A stored table; it, and what it needs, is written when first read.
+
+        The per-entity layers are written for all entities at once.
+        """
+        names = {"feed": list(ENTITIES), "dirty": list(ENTITIES), "current": list(ENTITIES), "available": PARENTS,
+                 "bronze": [s.table for s in ENTITIES.values()]}.get(layer, [name])
         with self.lock:
-            if not self.store.exists(layer, name):
-                partition = ["logical_date"] if layer in ("feed", "bronze") else None
-                self.store.write(self.build(layer, name), layer, name, partition)
+            missing = [n for n in names if not self.store.exists(layer, n)]
+            plans = [self.build(layer, n) for n in missing]
+            partition = ["logical_date"] if layer in ("feed", "bronze") else None
+            run_together([partial(self.store.write, p, layer, n, partition) for n, p in zip(missing, plans, strict=True)])
         return self.store.read(layer, name)
 
     def build(self, layer: str, name: str) -> DataFrame:
         """The unwritten plan of a table over its stored inputs."""
         if layer == "feed":
             return feeds.csv_feed(self.spark, self.sf_dir, name)
+        if layer == "dirty":
+            return feeds.csv_feed(self.spark, self.sf_dir, name, feeds.DIRTY_CHANGES)
+        if layer == "available":
+            known = current_keys(self.current(name), ENTITIES[name])
+            return available_keys(known, self.read("dirty", name), ENTITIES[name])
         if layer == "bronze":
             entity = next(n for n, s in ENTITIES.items() if s.table == name)
             return feeds.as_bronze(self.feed(entity), entity)
@@ -72,12 +86,11 @@ class Warehouse:
 
     def dirty_batch(self) -> dict[str, DataFrame]:
         """The batch of the day after the feed, in which most rules are broken by some rows."""
-        with self.lock:
-            for entity in ENTITIES:
-                if not self.store.exists("dirty", entity):
-                    rows = feeds.csv_feed(self.spark, self.sf_dir, entity, feeds.DIRTY_CHANGES)
-                    self.store.write(rows, "dirty", entity)
-        return {entity: self.store.read("dirty", entity) for entity in ENTITIES}
+        return {entity: self.read("dirty", entity) for entity in ENTITIES}
+
+    def dirty_available(self) -> dict[str, DataFrame]:
+        """The keys that batch's references may use."""
+        return {entity: self.read("available", entity) for entity in PARENTS}
 
     def landing(self, day: str | None = None) -> str:
         """Directory of landed CSV files; with ``day``, of that date's batch.

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom import specs
 from ledgerloom.operators.joins import unmatched_counts
 from ledgerloom.plans.quality import union_all
+from ledgerloom.session import run_together
 
 
 def unique(df: DataFrame, column: str) -> DataFrame:
@@ -133,18 +134,29 @@ def _total(failing: DataFrame, tests: TableTests, column: str, kind: str) -> Dat
     return total.select(_result(tests, column, kind, F.col("n")).alias("r")).select("r.*")
 
 
-def run_suite(read, suite: list[TableTests] | None = None) -> DataFrame:
-    """One row per declared test with its failing-row count; ``read(layer, table)`` supplies tables."""
-    frames = []
-    for tests in suite or SUITE:
-        df = read(tests.layer, tests.table)
-        frames.append(row_rules(df, tests))
-        frames += [_total(unique(df, c), tests, c, "unique") for c in tests.unique]
-        for column, (layer, table, key) in tests.related.items():
-            failing = relationships(df, column, read(layer, table), key)
-            frames.append(_total(failing, tests, column, "relationships"))
-    facts = no_negative_revenue(read("gold", "fact_orders"), read("gold", "fact_order_items"))
-    amounts = TableTests("gold", "facts")
-    frames.append(facts.agg(F.count("*").alias("n")).select(
-        _result(amounts, "invalid_amount", "no_negative_revenue", F.col("n")).alias("r")).select("r.*"))
+def table_results(read, tests: TableTests) -> DataFrame:
+    """One row per declared test of a table with its failing-row count."""
+    df = read(tests.layer, tests.table)
+    frames = [row_rules(df, tests)]
+    frames += [_total(unique(df, c), tests, c, "unique") for c in tests.unique]
+    for column, (layer, table, key) in tests.related.items():
+        failing = relationships(df, column, read(layer, table), key)
+        frames.append(_total(failing, tests, column, "relationships"))
     return union_all(frames)
+
+
+def amount_results(read) -> DataFrame:
+    failing = no_negative_revenue(read("gold", "fact_orders"), read("gold", "fact_order_items"))
+    result = _result(TableTests("gold", "facts"), "invalid_amount", "no_negative_revenue", F.col("n"))
+    return failing.agg(F.count("*").alias("n")).select(result.alias("r")).select("r.*")
+
+
+def run_suite(spark: SparkSession, read, suite: list[TableTests] | None = None) -> DataFrame:
+    """Run every declared test, some tables at a time; ``read(layer, table)`` supplies tables.
+
+    What returns to the driver is one row per declared test, whatever the tables' size.
+    """
+    tables = [table_results(read, tests) for tests in suite or SUITE]
+    results = [*tables, amount_results(read)]
+    rows = [r for part in run_together([df.collect for df in results]) for r in part]
+    return spark.createDataFrame(rows, results[0].schema)

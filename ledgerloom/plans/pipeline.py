@@ -5,16 +5,18 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from datetime import UTC, date, datetime
+from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom import specs
 from ledgerloom.functions.keys import source_file
 from ledgerloom.operators.versions import current_keys, latest_version
-from ledgerloom.plans import datatests, gold, quality, silver, validate
+from ledgerloom.plans import control, datatests, gold, quality, silver, validate
 from ledgerloom.plans.control import ControlError, ControlTables
 from ledgerloom.plans.quality import union_all
+from ledgerloom.session import run_together, use_utc
 from ledgerloom.sources import bronze, landing
 from ledgerloom.sources.store import TableStore
 from ledgerloom.specs import ENTITIES
@@ -24,17 +26,6 @@ class DataTestsFailed(RuntimeError):
     """Some declared data test returned failing rows."""
 
 
-def build_layers(read: Callable[[str, str], DataFrame], write: Callable[[DataFrame, str, str], None]) -> None:
-    """Rebuild every layer from the raw one, each table written before the next reads it.
-
-    The written newest-version tables are what both the clean tables and the report read.
-    """
-    for name, spec in ENTITIES.items():
-        write(latest_version(read("bronze", spec.table), spec), "current", name)
-    for layer, table in BUILD_ORDER:
-        write(BUILDERS[layer, table](read), layer, table)
-
-
 Read = Callable[[str, str], DataFrame]
 
 
@@ -61,7 +52,27 @@ BUILDERS: dict[tuple[str, str], Callable[[Read], DataFrame]] = {
     ("gold", "fact_order_items"): lambda r: gold.fact_order_items(
         r("silver", "order_items"), r("gold", "fact_orders"), r("gold", "dim_product"), r("gold", "dim_promotion")),
 }
-BUILD_ORDER = list(BUILDERS)
+# Tables of one phase read only tables of earlier phases, so they are built side by side.
+PHASES = [
+    [("silver", "customers"), ("silver", "promotions")],
+    [("silver", "orders"), ("gold", "dim_customer"), ("gold", "dim_promotion")],
+    [("silver", "order_items"), ("gold", "fact_orders"), ("gold", "dim_date")],
+    [("silver", "data_quality_report"), ("gold", "dim_product")],
+    [("gold", "fact_order_items")],
+]
+
+
+def build_layers(read: Read, write: Callable[[DataFrame, str, str], None]) -> None:
+    """Rebuild every layer from the raw one, each table written before the next reads it.
+
+    The written newest-version tables are what both the clean tables and the report read.
+    """
+    def current(name: str, spec: specs.EntitySpec) -> None:
+        write(latest_version(read("bronze", spec.table), spec), "current", name)
+
+    run_together([partial(current, n, s) for n, s in ENTITIES.items()])
+    for phase in PHASES:
+        run_together([partial(lambda t: write(BUILDERS[t](read), *t), table) for table in phase])
 
 
 def utc_now() -> datetime:
@@ -72,8 +83,7 @@ class Pipeline:
     """A stored warehouse of one pipeline under ``root``."""
 
     def __init__(self, spark: SparkSession, root: str, name: str = specs.DEFAULT_PIPELINE):
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-        self.spark, self.name = spark, name
+        self.spark, self.name = use_utc(spark), name
         self.store = TableStore(spark, root)
         self.control = ControlTables(self.store, name)
 
@@ -112,23 +122,32 @@ class Pipeline:
         )
         return self.spark.createDataFrame(named.collect(), named.schema)
 
+    def _staged(self, attempt: str, kind: str, frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        """Write an attempt's intermediate frames side by side; later steps read what was written."""
+        base = f"{self.store.path('staging', attempt)}/{kind}"
+        run_together([partial(df.write.parquet, f"{base}/{name}") for name, df in frames.items()])
+        return {n: self.spark.read.schema(df.schema).parquet(f"{base}/{n}") for n, df in frames.items()}
+
     def _stage(self, directory: str, attempt: str) -> dict[str, DataFrame]:
-        """Parse the files once into numbered text rows that later steps read."""
-        staged = {}
-        for name, spec in ENTITIES.items():
-            rows = landing.with_row_number(landing.read_entity_csv(self.spark, directory, spec)).drop("_file")
-            path = f"{self.store.path('staging', attempt)}/{name}"
-            rows.write.parquet(path)
-            staged[name] = self.spark.read.schema(rows.schema).parquet(path)
-        return staged
+        """Parse the files once into numbered text rows."""
+        read = run_together([partial(landing.read_entity_csv, self.spark, directory, s) for s in ENTITIES.values()])
+        numbered = [landing.with_row_number(rows).drop("_file") for rows in read]
+        return self._staged(attempt, "rows", dict(zip(ENTITIES, numbered, strict=True)))
+
+    def _errors(self, batch: dict[str, DataFrame], attempt: str, day: Column) -> DataFrame:
+        """All broken rules of a staged batch, kept with the attempt."""
+        latest = {e: latest_version(self.bronze(e).select(*KEY_COLUMNS, s.key), s) for e, s in ENTITIES.items()}
+        known = self._staged(attempt, "known", {e: current_keys(latest[e], s) for e, s in ENTITIES.items()})
+        available = self._staged(attempt, "available", validate.batch_available(batch, known))
+        errors = {e: validate.entity_errors(batch, known, available, e, day) for e in ENTITIES}
+        return union_all(list(self._staged(attempt, "errors", errors).values()))
 
     def load(self, logical_date: date, directory: str, now: datetime | None = None) -> dict:
         """Validate a landed batch and append its new versions; a repeated batch is a no-op."""
         now = now or utc_now()
         identifier, attempt = self._identifier(logical_date), uuid.uuid4().hex
         landing.require_files(self.spark, directory)
-        for spec in ENTITIES.values():
-            landing.check_header(self.spark, directory, spec)
+        landing.check_headers(self.spark, directory)
         checksums = self._checksums(logical_date, directory)
         decision = self.control.rerun_decision(checksums)
         if decision == "noop":
@@ -139,11 +158,7 @@ class Pipeline:
         self.control.start(logical_date, manifest, attempt, now)
         try:
             staged = self._stage(directory, attempt)
-            known = {
-                e: current_keys(latest_version(self.bronze(e).select(*KEY_COLUMNS, s.key), s), s)
-                for e, s in ENTITIES.items()
-            }
-            validate.require_valid(validate.batch_errors(staged, known, F.lit(logical_date)))
+            validate.require_valid(self._errors(staged, attempt, F.lit(logical_date)))
             metrics = self._append(staged, checksums, logical_date, identifier, attempt, now)
             self.control.publish(metrics)
         except Exception as error:
@@ -153,30 +168,35 @@ class Pipeline:
 
     def _append(self, staged, checksums, logical_date, identifier, attempt, now) -> DataFrame:
         """Write each entity's new versions under this attempt; returns per-file metrics."""
-        frames = []
         sums = {r["entity"]: r["file_checksum"] for r in checksums.collect()}
         day = F.lit(logical_date)
-        for name, spec in ENTITIES.items():
+
+        def append(name: str, spec: specs.EntitySpec) -> list:
             file_name = source_file(name, day)
             rows = bronze.to_bronze(
                 staged[name], spec, F.lit(identifier), day, file_name, F.lit(sums[name]), F.lit(now)
             )
             same_day = self.bronze(name).where(F.col("logical_date") == day)
             fresh = bronze.new_versions(same_day, rows).select(*rows.columns, F.lit(attempt).alias("attempt_id"))
-            path = self.bronze_path(name)
-            fresh.write.mode("append").partitionBy("logical_date", "attempt_id").parquet(path)
+            fresh.write.mode("append").partitionBy("logical_date", "attempt_id").parquet(self.bronze_path(name))
             written = self.all_bronze(name).where((F.col("attempt_id") == attempt) & (F.col("logical_date") == day))
-            received = staged[name].agg(F.count("*").alias("rows_received"))
-            latest = rows.agg(F.max("source_updated_at").alias("last_source_updated_at"))
-            counted = written.agg(*bronze.operation_counts()).crossJoin(received).crossJoin(latest)
-            frames.append(counted.select(
+            received = rows.agg(
+                F.count("*").alias("rows_received"), F.max("source_updated_at").alias("last_source_updated_at"))
+            counted = written.agg(*bronze.operation_counts()).crossJoin(received)
+            return counted.select(
                 F.lit(self.name).alias("pipeline_name"), day.alias("logical_date"), file_name.alias("source_file"),
                 F.lit(identifier).alias("batch_id"), F.lit(sums[name]).alias("file_checksum"),
-                F.lit(now).alias("started_at"), F.lit(now).alias("completed_at"), "rows_received", "rows_inserted",
-                "rows_updated", "rows_deleted", "last_source_updated_at",
-            ))
-        four = union_all(frames)
-        return self.spark.createDataFrame(four.collect(), four.schema)
+                F.lit(now).alias("started_at"), F.lit(now).alias("completed_at"), *control.COUNTS[:-1],
+                "last_source_updated_at",
+            ).collect()
+
+        four = run_together([partial(append, n, s) for n, s in ENTITIES.items()])
+        schema = (
+            "pipeline_name string, logical_date date, source_file string, batch_id string, file_checksum string, "
+            "started_at timestamp, completed_at timestamp, rows_received bigint, rows_inserted bigint, "
+            "rows_updated bigint, rows_deleted bigint, last_source_updated_at timestamp"
+        )
+        return self.spark.createDataFrame([row for rows in four for row in rows], schema)
 
     # --- rebuilding ----------------------------------------------------------
     def rebuild(self) -> None:
@@ -184,7 +204,7 @@ class Pipeline:
 
     def run_tests(self) -> DataFrame:
         """Run the declared tests; any failing row stops the pipeline."""
-        results = datatests.run_suite(self.read)
+        results = datatests.run_suite(self.spark, self.read)
         broken = results.where("failures > 0").collect()
         if broken:
             raise DataTestsFailed("; ".join(f"{r.table_name}.{r.column_name} {r.test}: {r.failures}" for r in broken))

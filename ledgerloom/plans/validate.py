@@ -111,29 +111,41 @@ def blank_products(items: DataFrame) -> DataFrame:
     return error_rows(blank, "order_items", F.col("order_item_id"), F.lit("blank_product"), F.lit("blank product_id"))
 
 
-def reference_errors(batch: dict[str, DataFrame], known: dict[str, DataFrame]) -> DataFrame:
-    """Foreign keys against current keys as this batch will leave them."""
-    available = {e: available_keys(known[e], batch[e], ENTITIES[e]) for e in ("customers", "promotions", "orders")}
-    orders, items = ENTITIES["orders"], ENTITIES["order_items"]
+# Which columns refer to which entity, and whether a blank reference is allowed.
+REFERENCES: dict[str, list[tuple[str, str, bool]]] = {
+    "orders": [("customer_id", "customers", False), ("promotion_id", "promotions", True)],
+    "order_items": [("order_id", "orders", False), ("promotion_id", "promotions", True)],
+}
+PARENTS = ["customers", "promotions", "orders"]
+Frames = dict[str, DataFrame]
+
+
+def batch_available(batch: Frames, known: Frames) -> Frames:
+    """The keys references may use: current ones as this batch will leave them."""
+    return {e: available_keys(known[e], batch[e], ENTITIES[e]) for e in PARENTS}
+
+
+def reference_errors(batch: Frames, available: Frames, entity: str) -> list[DataFrame]:
+    """One frame per foreign key of an entity, and blank products of items."""
+    frames = [
+        unknown_references(batch[entity], ENTITIES[entity], column, available[parent], blank_allowed)
+        for column, parent, blank_allowed in REFERENCES.get(entity, [])
+    ]
+    return [*frames, blank_products(batch[entity])] if entity == "order_items" else frames
+
+
+def entity_errors(batch: Frames, known: Frames, available: Frames, entity: str, logical_date: Column) -> DataFrame:
+    """Every broken rule among one entity's rows."""
+    rows, spec = batch[entity], ENTITIES[entity]
     return union_all([
-        unknown_references(batch["orders"], orders, "customer_id", available["customers"], False),
-        unknown_references(batch["orders"], orders, "promotion_id", available["promotions"], True),
-        unknown_references(batch["order_items"], items, "order_id", available["orders"], False),
-        blank_products(batch["order_items"]),
-        unknown_references(batch["order_items"], items, "promotion_id", available["promotions"], True),
+        row_errors(rows, spec, logical_date), duplicate_keys(rows, spec), duplicate_versions(rows, spec),
+        missing_keys(rows, known[entity], spec), *reference_errors(batch, available, entity),
     ])
 
 
-def batch_errors(batch: dict[str, DataFrame], known: dict[str, DataFrame], logical_date: Column) -> DataFrame:
+def batch_errors(batch: Frames, known: Frames, available: Frames, logical_date: Column) -> DataFrame:
     """Every broken rule of a batch; ``known`` holds the current keys per entity."""
-    frames = []
-    for name, spec in ENTITIES.items():
-        rows = batch[name]
-        frames += [
-            row_errors(rows, spec, logical_date), duplicate_keys(rows, spec), duplicate_versions(rows, spec),
-            missing_keys(rows, known[name], spec),
-        ]
-    return union_all([*frames, reference_errors(batch, known)])
+    return union_all([entity_errors(batch, known, available, e, logical_date) for e in ENTITIES])
 
 
 def first_errors(errors: DataFrame, limit: int = specs.MAX_REPORTED_ERRORS) -> DataFrame:

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
+JOBS_AT_ONCE = 4
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -28,3 +33,10 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, memory: str = "
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def run_together(jobs: list[Callable]) -> list:
+    """Submit independent Spark jobs side by side and wait for all; results in order."""
+    inherit = inheritable_thread_target(SparkSession.active())
+    with ThreadPoolExecutor(max_workers=JOBS_AT_ONCE) as pool:
+        return [f.result() for f in [pool.submit(inherit(job)) for job in jobs]]

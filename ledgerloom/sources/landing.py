@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 import io
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -56,12 +57,14 @@ def header_report(spark: SparkSession, directory: str, spec: EntitySpec) -> Data
     )
 
 
-def check_header(spark: SparkSession, directory: str, spec: EntitySpec) -> None:
-    """Names and order must equal the contract in every file."""
-    wrong = header_report(spark, directory, spec).where("not is_expected").limit(1).collect()
+def check_headers(spark: SparkSession, directory: str) -> None:
+    """Names and order must equal the contract in every file of a batch."""
+    reports = [header_report(spark, directory, spec) for spec in ENTITIES.values()]
+    wrong = reduce(DataFrame.unionByName, reports).where("not is_expected").limit(1).collect()
     if wrong:
+        expected = ENTITIES[wrong[0]["entity"]].csv_columns
         got = next(csv.reader(io.StringIO(wrong[0]["found"])), [])
-        raise ValueError(f"Unexpected header for {spec.name}. Expected {spec.csv_columns}, got {got}")
+        raise ValueError(f"Unexpected header for {wrong[0]['entity']}. Expected {expected}, got {got}")
 
 
 def has_quoted_line_breaks(spark: SparkSession, paths: list[str]) -> bool:

@@ -71,11 +71,11 @@ def test_short_and_long_rows_read_like_a_dict_reader(spark, batch_dir):
 
 
 def test_headers_must_match_in_order(spark, batch_dir):
-    landing.check_header(spark, str(batch_dir), ITEMS)
+    landing.check_headers(spark, str(batch_dir))
     swapped = [ITEMS.csv_columns[1], ITEMS.csv_columns[0], *ITEMS.csv_columns[2:]]
     write_csv(batch_dir / "order_items.csv", ITEMS, [item("1")], header=swapped)
     with pytest.raises(ValueError, match="Unexpected header for order_items"):
-        landing.check_header(spark, str(batch_dir), ITEMS)
+        landing.check_headers(spark, str(batch_dir))
 
 
 def test_all_four_files_are_required(spark, batch_dir):
