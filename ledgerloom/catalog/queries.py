@@ -346,7 +346,7 @@ def linked_orders(w: Warehouse) -> DataFrame:
     current = w.current("orders")
     rows = texts(w, "orders").select("raw_key", c("promotion_id").alias("promotion_text"),
                                      P.digits_to_bigint(c("promotion_id")).alias("promotion_id"))
-    return silver.with_known(rows, w.silver("promotions"), "promotion_id", "raw_key",
+    return silver.with_known(rows, w.silver("promotions"), "promotion_id", ["raw_key"],
                              silver.hot_references(current, "promotion_id"))
 
 
@@ -369,7 +369,8 @@ simple("state_as_of", lambda w: each(lambda n, s: V.state_as_of(w.bronze(n), s,
     F.lit(n).alias("entity"), F.col(s.key).alias("raw_key"), "operation", "source_record_hash")))
 simple("late_rows", lambda w: each(lambda n, s: V.late_rows(w.bronze(n)).groupBy("logical_date", "business_date").agg(
     F.count("*").alias("row_count")).withColumn("entity", F.lit(n))))
-simple("status_transitions", lambda w: V.status_transitions(w.bronze("orders"), ENTITIES["orders"]))
+simple("status_transitions", lambda w: V.status_transitions(
+    w.bronze("orders"), ENTITIES["orders"], f"{fresh_dir(w.spark, 'transitions')}/chunks"))
 
 
 @query("next_ids")
@@ -402,10 +403,8 @@ def report(w: Warehouse) -> DataFrame:
     return w.silver("data_quality_report")
 
 
-@query("dq_duplicate_keys")
-def dq_duplicate_keys(w: Warehouse) -> DataFrame:
-    return each(lambda n, s: texts(w, n).agg(quality.duplicate_key_count(s.key).alias("duplicates")).withColumn(
-        "entity", F.lit(n)))
+simple("dq_duplicate_keys", lambda w: each(lambda n, s: quality.duplicate_keys(w.current(n), s).select(
+    c("n_records").alias("duplicates"), F.lit(n).alias("entity"))))
 
 
 @query("orphan_refs")

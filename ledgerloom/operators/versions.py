@@ -25,9 +25,18 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFr
     return ranked.where("_rank = 1").drop("_rank")
 
 
+def newest_version(versions: DataFrame, spec: EntitySpec) -> DataFrame:
+    """Newest version per raw key, tombstones included.
+
+    Newest-of is associative: the newest of (newest versions so far, later batches) is the
+    newest of all, in whatever order batches arrive, so a stored result can be carried on.
+    """
+    return first_per_key(versions, [spec.key], newest_first())
+
+
 def latest_version(bronze: DataFrame, spec: EntitySpec) -> DataFrame:
     """Newest version per raw key; tombstones go only after ranking, or deleted keys revive."""
-    return first_per_key(bronze, [spec.key], newest_first()).where(not_deleted())
+    return newest_version(bronze, spec).where(not_deleted())
 
 
 def state_as_of(bronze: DataFrame, spec: EntitySpec, as_of: str) -> DataFrame:
@@ -55,32 +64,35 @@ def late_rows(bronze: DataFrame) -> DataFrame:
     return bronze.where((F.col("operation") == "I") & (F.col("business_date") < F.col("logical_date")))
 
 
-def with_previous(df: DataFrame, key: str, value: str, slot: Column) -> DataFrame:
+def with_previous(df: DataFrame, key: str, value: str, staging: str) -> DataFrame:
     """Add ``previous_<value>``: the value of the key's preceding version.
 
-    A plain lag would sort all versions of one key in one task. Here lag runs inside
-    (key, time slot) groups, and only each group's first row looks back, to the closing value of
-    the key's previous slot: for one key that second pass has one row per slot.
+    A plain lag would sort all versions of one key in one task. Instead the rows are
+    range-partitioned on key and version order, so a hot key spans as many chunks as its rows need,
+    and written to ``staging`` with their chunk number. Lag runs inside (key, chunk) groups;
+    each group's first row takes the closing value of the key's previous chunk.
     """
     oldest_first = [F.col(c).asc_nulls_first() for c in VERSION_ORDER]
-    before = F.lag(F.struct(value)).over(W.partitionBy(key, "_slot").orderBy(*oldest_first))
-    slotted = df.withColumn("_slot", slot)
-    closing = slotted.groupBy(key, "_slot").agg(
-        F.max_by(F.struct(value), F.struct(*VERSION_ORDER)).alias("_closing")
-    )
+    columns = [key, value, *VERSION_ORDER, *[c for c in df.columns if c not in (key, value, *VERSION_ORDER)]]
+    ranged = df.select(*columns).repartitionByRange(F.col(key).asc_nulls_first(), *oldest_first)
+    chunked = ranged.withColumn("_chunk", F.spark_partition_id())
+    chunked.write.parquet(staging)
+    stored = df.sparkSession.read.schema(chunked.schema).parquet(staging)
+    held = F.struct(F.col(value).alias("v"))
+    before = F.lag(held).over(W.partitionBy(key, "_chunk").orderBy(*oldest_first))
+    closing = stored.groupBy(key, "_chunk").agg(F.max_by(held, F.struct(*VERSION_ORDER)).alias("_closing"))
     carried = closing.select(
-        key, "_slot", F.lag("_closing").over(W.partitionBy(key).orderBy("_slot")).alias("_carried")
+        key, "_chunk", F.lag("_closing").over(W.partitionBy(key).orderBy("_chunk")).alias("_carried")
     )
-    joined = slotted.withColumn("_before", before).join(carried, [key, "_slot"], "left")
-    previous = F.coalesce("_before", "_carried")[value]
-    return joined.withColumn(f"previous_{value}", previous).drop("_before", "_carried", "_slot")
+    joined = stored.withColumn("_before", before).join(carried, [key, "_chunk"], "left")
+    previous = F.coalesce("_before", "_carried")["v"]
+    return joined.withColumn(f"previous_{value}", previous).drop("_before", "_carried", "_chunk")
 
 
-def status_transitions(bronze: DataFrame, spec: EntitySpec) -> DataFrame:
+def status_transitions(bronze: DataFrame, spec: EntitySpec, staging: str) -> DataFrame:
     """Each update of an order with its former status and whether the move is allowed."""
     versions = bronze.select(spec.key, "order_status", "operation", "logical_date", *VERSION_ORDER)
-    minute = F.date_trunc("minute", "source_updated_at")
-    moved = with_previous(versions, spec.key, "order_status", minute).where("operation = 'U'")
+    moved = with_previous(versions, spec.key, "order_status", staging).where("operation = 'U'")
     now, was = F.col("order_status"), F.col("previous_order_status")
     allowed = (
         now.isin("PAID", "PENDING", "CANCEL", "ERROR", "INVALID")
@@ -98,7 +110,8 @@ def assign_next_ids(rows: DataFrame, known: DataFrame, order_by: str, block: int
     """Number new rows densely from the highest known key, in the order of an integer column.
 
     Ranks run inside blocks of the ordering column; a running total over the much smaller
-    block table supplies each block's start, so no window spans the data.
+    block table supplies each block's start, so no window spans the data. The ordering
+    column must be unique, as a row number is; a block then holds at most ``block`` rows.
     """
     blocked = rows.withColumn("_block", F.floor(F.col(order_by) / F.lit(block)))
     sizes = blocked.groupBy("_block").agg(F.count("*").alias("_size"))

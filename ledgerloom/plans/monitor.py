@@ -149,7 +149,7 @@ def with_run(tasks: DataFrame, runs: DataFrame) -> DataFrame:
     """Task rows of known runs with the run's date, balanced when one run has most tasks."""
     dated = runs.select("dag_id", "run_id", "execution_date")
     keys = ["dag_id", "run_id"]
-    return lookup(tasks, dated, keys, ["task_id", "start_date"], hot_keys(tasks, keys)).where("execution_date is not null")
+    return lookup(tasks, dated, keys, ["task_id", "try_number", "start_date"], hot_keys(tasks, keys)).where("execution_date is not null")
 
 
 def latest_run_tasks(tasks: DataFrame, runs: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom import specs
 from ledgerloom.functions.keys import source_file
-from ledgerloom.operators.versions import current_keys, latest_version
+from ledgerloom.operators.versions import current_keys, latest_version, newest_version, not_deleted
 from ledgerloom.plans import control, datatests, gold, quality, silver, validate
 from ledgerloom.plans.control import ControlError, ControlTables
 from ledgerloom.plans.quality import union_all
@@ -63,14 +63,7 @@ PHASES = [
 
 
 def build_layers(read: Read, write: Callable[[DataFrame, str, str], None]) -> None:
-    """Rebuild every layer from the raw one, each table written before the next reads it.
-
-    The written newest-version tables are what both the clean tables and the report read.
-    """
-    def current(name: str, spec: specs.EntitySpec) -> None:
-        write(latest_version(read("bronze", spec.table), spec), "current", name)
-
-    run_together([partial(current, n, s) for n, s in ENTITIES.items()])
+    """Rebuild the clean and star layers, each table written before the next reads it."""
     for phase in PHASES:
         run_together([partial(lambda t: write(BUILDERS[t](read), *t), table) for table in phase])
 
@@ -103,9 +96,23 @@ class Pipeline:
         """Raw rows of published batches."""
         return bronze.committed_rows(self.all_bronze(entity), self.control.batches())
 
+    def unmerged_versions(self, entity: str) -> DataFrame:
+        """Versions that decide the newest ones: those stored so far, and of batches not yet completed.
+
+        A date is completed only after its rebuild stored its versions, so completed
+        batches need not be read again.
+        """
+        if not self.store.exists("newest", entity):
+            return self.bronze(entity)
+        waiting = self.control.batches().where("status = 'ingested'")
+        fresh = bronze.committed_rows(self.all_bronze(entity), waiting)
+        return self.store.read("newest", entity).unionByName(fresh)
+
     def read(self, layer: str, table: str) -> DataFrame:
         if layer == "bronze":
             return self.bronze(next(n for n, s in ENTITIES.items() if s.table == table))
+        if layer == "current":
+            return self.store.read("newest", table).where(not_deleted())
         return self.store.read(layer, table)
 
     # --- loading -----------------------------------------------------------
@@ -136,7 +143,7 @@ class Pipeline:
 
     def _errors(self, batch: dict[str, DataFrame], attempt: str, day: Column) -> DataFrame:
         """All broken rules of a staged batch, kept with the attempt."""
-        latest = {e: latest_version(self.bronze(e).select(*KEY_COLUMNS, s.key), s) for e, s in ENTITIES.items()}
+        latest = {e: latest_version(self.unmerged_versions(e).select(*KEY_COLUMNS, s.key), s) for e, s in ENTITIES.items()}
         known = self._staged(attempt, "known", {e: current_keys(latest[e], s) for e, s in ENTITIES.items()})
         available = self._staged(attempt, "available", validate.batch_available(batch, known))
         errors = {e: validate.entity_errors(batch, known, available, e, day) for e in ENTITIES}
@@ -200,6 +207,14 @@ class Pipeline:
 
     # --- rebuilding ----------------------------------------------------------
     def rebuild(self) -> None:
+        """Store the newest versions, then rebuild everything above them.
+
+        The clean tables and the report both read the stored newest versions.
+        """
+        def merge(name: str, spec: specs.EntitySpec) -> None:
+            self.store.write(newest_version(self.unmerged_versions(name), spec), "newest", name)
+
+        run_together([partial(merge, n, s) for n, s in ENTITIES.items()])
         build_layers(self.read, self.store.write)
 
     def run_tests(self) -> DataFrame:
@@ -229,6 +244,8 @@ class Pipeline:
             raise ValueError("Refusing to reset data without confirmation")
         for name, schema in ControlTables.SCHEMAS.items():
             self.control.save(self.spark.createDataFrame([], schema), name)
+        for name, spec in ENTITIES.items():
+            self.store.write(self.spark.createDataFrame([], bronze.bronze_read_schema(spec)), "newest", name)
 
 
 KEY_COLUMNS = ["operation", "source_updated_at", "ingested_at", "batch_id", "source_record_hash"]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions import parsing as P
 from ledgerloom.functions import text as X
 from ledgerloom.plans.silver import bad_date_range, cleaned_texts
-from ledgerloom.specs import ENTITIES
+from ledgerloom.specs import ENTITIES, EntitySpec
 
 Check = tuple[str, str, Column]
 
@@ -33,9 +33,19 @@ def unpivot_counts(df: DataFrame, table: str, checks: list[Check]) -> DataFrame:
     return totals.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
-def duplicate_key_count(key: str) -> Column:
-    """Rows beyond the first of each clean key; COUNT skips NULL keys on both sides."""
-    return F.count(key) - F.count_distinct(key)
+def duplicate_keys(current: DataFrame, spec: EntitySpec) -> DataFrame:
+    """Rows beyond the first of each clean key, as one total.
+
+    Raw keys are unique among newest versions, so clean keys can only repeat through raw
+    keys that cleaning changes. Those few are counted, and the unchanged keys that meet them;
+    the rest of the table is never shuffled by key.
+    """
+    raw, clean = F.col(spec.key), X.text_clean(F.col(spec.key))
+    changed = current.where(clean.isNotNull() & (raw != clean)).groupBy(clean.alias("key")).agg(F.count("*").alias("n"))
+    met = current.where(raw == clean).select(raw.alias("key")).join(changed, "key", "left_semi")
+    repeats = changed.select((F.col("n") - 1).alias("n_records"))
+    both = repeats.unionByName(met.select(F.lit(1).cast("bigint").alias("n_records")))
+    return both.agg(F.coalesce(F.sum("n_records"), F.lit(0).cast("bigint")).alias("n_records"))
 
 
 def negative_or_bad(c: Column) -> Column:
@@ -46,7 +56,6 @@ def customer_checks(current: DataFrame) -> DataFrame:
     t = cleaned_texts(current, ENTITIES["customers"], signed=False)
     registered = F.col("registration_date")
     return unpivot_counts(t, "customers_raw", [
-        ("duplicate_primary_key", "high", duplicate_key_count("customer_id")),
         ("invalid_phone", "medium", F.count_if(X.invalid_phone(F.col("phone_number")))),
         ("invalid_registration_date", "medium", F.count_if(registered.isNotNull() & P.parse_date(registered).isNull())),
     ])
@@ -59,7 +68,6 @@ def attributed_without_promotion() -> Column:
 def order_checks(current: DataFrame) -> DataFrame:
     t = cleaned_texts(current, ENTITIES["orders"], signed=False)
     return unpivot_counts(t, "orders_raw", [
-        ("duplicate_primary_key", "high", duplicate_key_count("order_id")),
         ("missing_promotion_id", "low", F.count_if(F.col("promotion_id").isNull())),
         ("promo_attributed_without_promotion_id", "high", attributed_without_promotion()),
         ("invalid_order_value", "high", F.count_if(negative_or_bad(F.col("order_value")))),
@@ -71,7 +79,6 @@ def order_item_checks(current: DataFrame) -> DataFrame:
     quantity = F.col("quantity")
     not_positive = quantity.startswith("-") | ~quantity.rlike(P.NON_ZERO_DIGIT)
     return unpivot_counts(t, "order_items_raw", [
-        ("duplicate_primary_key", "high", duplicate_key_count("order_item_id")),
         ("invalid_quantity", "high", F.count_if(P.bad_number(quantity, P.SIGNED, not_positive))),
         ("invalid_unit_price", "high", F.count_if(negative_or_bad(F.col("unit_price")))),
         ("promo_attributed_without_promotion_id", "high", attributed_without_promotion()),
@@ -85,7 +92,6 @@ def promotion_checks(current: DataFrame) -> DataFrame:
     bad_money = negative_or_bad(F.col("budget_allocated")) | negative_or_bad(F.col("cost_per_acquisition"))
     bad_range = bad_date_range(P.parse_date(F.col("start_date")), P.parse_date(F.col("end_date")))
     return unpivot_counts(t, "promotions_raw", [
-        ("duplicate_primary_key", "high", duplicate_key_count("promotion_id")),
         ("invalid_date_range", "high", F.count_if(bad_range)),
         ("negative_discount_value", "high", F.count_if(negative_or_bad(F.col("discount_value")))),
         ("invalid_expected_response_rate", "medium", F.count_if(bad_rate)),
@@ -109,8 +115,8 @@ def unmatched_references(current: DataFrame, column: str, parent: DataFrame, bla
     return keyed.join(parent.select(column), column, "left_anti").select("reference", "n_records")
 
 
-def reference_check(issue: str, table: str, unmatched: DataFrame) -> DataFrame:
-    return unpivot_counts(unmatched, table, [(issue, "high", F.sum("n_records"))])
+def counted_check(issue: str, table: str, severity: str, counted: DataFrame) -> DataFrame:
+    return unpivot_counts(counted, table, [(issue, severity, F.sum("n_records"))])
 
 
 def attribution_mismatch(order_items: DataFrame, orders: DataFrame) -> DataFrame:
@@ -132,19 +138,22 @@ def data_quality_report(current: dict[str, DataFrame], silver: dict[str, DataFra
     """All checks that found something."""
     orders, items = current["orders"], current["order_items"]
     mismatch = attribution_mismatch(silver["order_items"], silver["orders"])
+    duplicates = [
+        counted_check("duplicate_primary_key", s.table, "high", duplicate_keys(current[e], s)) for e, s in ENTITIES.items()
+    ]
     checks = [
+        *duplicates,
         customer_checks(current["customers"]),
         order_checks(orders),
         order_item_checks(items),
         promotion_checks(current["promotions"]),
-        reference_check("invalid_customer_reference", "orders_raw",
-                        unmatched_references(orders, "customer_id", silver["customers"], True)),
-        reference_check("invalid_promotion_reference", "orders_raw",
-                        unmatched_references(orders, "promotion_id", silver["promotions"], False)),
-        reference_check("invalid_order_reference", "order_items_raw",
-                        unmatched_references(items, "order_id", silver["orders"], True)),
-        unpivot_counts(mismatch, "order_items_raw",
-                       [("inconsistent_order_item_promotion_attribution", "medium", F.sum("n_records"))]),
+        counted_check("invalid_customer_reference", "orders_raw", "high",
+                      unmatched_references(orders, "customer_id", silver["customers"], True)),
+        counted_check("invalid_promotion_reference", "orders_raw", "high",
+                      unmatched_references(orders, "promotion_id", silver["promotions"], False)),
+        counted_check("invalid_order_reference", "order_items_raw", "high",
+                      unmatched_references(items, "order_id", silver["orders"], True)),
+        counted_check("inconsistent_order_item_promotion_attribution", "order_items_raw", "medium", mismatch),
     ]
     return union_all(checks).where("affected_row_count > 0")
 

@@ -73,7 +73,7 @@ def committed_rows(bronze: DataFrame, batches: DataFrame) -> DataFrame:
 
 
 def bronze_read_schema(spec: EntitySpec) -> T.StructType:
-    return spec.bronze_schema.add("attempt_id", "string")
+    return spec.bronze_schema.add("attempt_id", T.StringType())
 
 
 def batch_manifest(feed: DataFrame, keys: list[str]) -> DataFrame:

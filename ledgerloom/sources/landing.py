@@ -15,6 +15,7 @@ from ledgerloom.sources.store import Files
 from ledgerloom.specs import ENTITIES, EntitySpec
 
 FIRST_DATA_ROW = 2
+BROADCAST_SPLITS = 50_000
 ARRIVAL_DATE = r"/(\d{4}-\d{2}-\d{2})/"
 # RFC 4180 quoting: a doubled quote inside a quoted field, nothing trimmed.
 CSV_OPTIONS = {"header": True, "encoding": "UTF-8", "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
@@ -112,6 +113,10 @@ def with_row_number(read: DataFrame) -> DataFrame:
     starts = splits.select(
         "_file", "_block", (F.coalesce(earlier, F.lit(0)) + FIRST_DATA_ROW - F.col("_first")).alias("_shift")
     )
+    # A file has one split per block of it, so files and tasks bound the number of splits.
+    splits_at_most = 2 * len(read.inputFiles()) + read.rdd.getNumPartitions()
+    if splits_at_most <= BROADCAST_SPLITS:
+        starts = F.broadcast(starts)
     numbered = read.join(starts, ["_file", "_block"])
     return numbered.withColumn("source_row_number", (F.col("_at") + F.col("_shift")).cast("int")).drop(
         "_block", "_at", "_shift"

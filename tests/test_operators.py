@@ -64,7 +64,7 @@ def test_available_keys_apply_the_last_operation_of_a_key(spark):
     assert sorted(r[0] for r in V.available_keys(known, batch, ORDERS).collect()) == ["2", "3", "9"]
 
 
-def test_previous_status_crosses_time_slots(spark):
+def test_previous_status_crosses_chunks(spark, tmp_path):
     rng = random.Random(3)
     statuses = ["PENDING", "PAID", "CANCEL", "ERROR", "INVALID"]
     rows, seen = [], {}
@@ -76,7 +76,11 @@ def test_previous_status_crosses_time_slots(spark):
     for row in rows:
         expected.append((row[0], seen.get(row[0]), row[1]))
         seen[row[0]] = row[1]
-    got = V.status_transitions(frame(spark, rows).repartition(5), ORDERS).collect()
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    got = V.status_transitions(frame(spark, rows).repartition(5), ORDERS, str(tmp_path / "chunks")).collect()
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    chunks = spark.read.parquet(str(tmp_path / "chunks")).where("order_id = 'hot'")
+    assert chunks.select("_chunk").distinct().count() > 1
     assert sorted((r.order_id, r.previous_status or "", r.new_status) for r in got) == sorted((k, p or "", s) for k, p, s in expected)
     for r in got:
         moves = {("PENDING", "PAID"), ("PENDING", "CANCEL"), ("ERROR", "CANCEL"), ("INVALID", "CANCEL")}
@@ -142,6 +146,23 @@ def test_unmatched_references_count_blank_and_unreadable_ones(spark):
     assert {r.reference for r in skip_blank} == {"2", "x", "12.0"}
 
 
+def test_duplicate_keys_equal_rows_less_distinct_clean_keys(spark):
+    rng = random.Random(5)
+    raws = {" " * rng.randrange(3) + str(rng.randrange(60)) + " " * rng.randrange(2) for _ in range(150)} | {None, "", "  "}
+    current = spark.createDataFrame([(r,) for r in raws], "order_id string")
+    clean = [r.strip(" ") for r in raws if r and r.strip(" ")]
+    assert quality.duplicate_keys(current, ORDERS).collect()[0].n_records == len(clean) - len(set(clean)) > 0
+
+
+def test_stored_newest_versions_can_be_carried_on(spark):
+    rng = random.Random(11)
+    rows = [version(str(rng.randrange(9)), str(i), rng.choice("IUD"), 1 + rng.randrange(5), rng.randrange(4), f"{i:04}") for i in range(200)]
+    late, early = [r for r in rows if r[3].day > 2], [r for r in rows if r[3].day <= 2]
+    for first, second in ((early, late), (late, early)):
+        carried = V.newest_version(frame(spark, first), ORDERS).unionByName(frame(spark, second))
+        assert sorted(V.latest_version(carried, ORDERS).collect()) == sorted(V.latest_version(frame(spark, rows), ORDERS).collect())
+
+
 def test_presence_always_gives_one_row(spark):
     empty = spark.createDataFrame([], "a int")
     assert [r.a for r in joins.presence(empty).collect()] == [None]

@@ -7,6 +7,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerloom.operators.versions import latest_version
 from ledgerloom.plans.control import ControlError
 from ledgerloom.plans.pipeline import DataTestsFailed, Pipeline
 from ledgerloom.plans.validate import BatchRejected
@@ -193,6 +194,13 @@ def test_watermark_does_not_move_back(loaded):
     assert mark.last_logical_date == DAY2 and mark.batch_id == f"retail_daily:{DAY2}"
 
 
+def test_carried_newest_versions_equal_those_of_the_whole_raw_layer(loaded):
+    pipeline, _ = loaded
+    for name, spec in ENTITIES.items():
+        whole = latest_version(pipeline.bronze(name), spec).select(spec.key, "source_record_hash")
+        assert sorted(pipeline.read("current", name).select(spec.key, "source_record_hash").collect()) == sorted(whole.collect())
+
+
 def test_rows_of_an_unpublished_attempt_are_invisible(loaded):
     pipeline, _ = loaded
     before = pipeline.bronze("customers").count()
