@@ -18,6 +18,7 @@ WHOLE_DATE = DATE_PREFIX + r"\z"
 ISO_WITH_OFFSET = (
     r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}([.,]\d+)?)?(Z|[+-]\d{2}(:?\d{2})?)\z"
 )
+PLAIN_UTC = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,6})?Z\z"
 ISO_LOCAL = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}([.,]\d+)?)?)?\z"
 
 
@@ -37,8 +38,11 @@ def parse_date(c: Column) -> Column:
 
 
 def parse_whole_date(c: Column) -> Column:
-    """A text that is exactly one calendar day, for tracking columns."""
-    return F.when(c.rlike(WHOLE_DATE) & ~c.startswith("0000"), c.try_cast("date"))
+    """A text that is exactly one calendar day, but for white space around it."""
+    def exact(text: Column) -> Column:
+        return F.when(text.rlike(WHOLE_DATE) & ~text.startswith("0000"), text.try_cast("date"))
+
+    return F.coalesce(exact(c), exact(strip_all(c)))
 
 
 def bool_value(c: Column) -> Column:
@@ -84,7 +88,8 @@ def parse_utc_timestamp(c: Column) -> Column:
     with_seconds = F.when(no_seconds, F.overlay(point, F.lit(":00"), F.lit(17), F.lit(0))).otherwise(point)
     bare_hours = F.substring(text, -3, 1).isin("+", "-")
     full = F.when(bare_hours, F.concat(with_seconds, F.lit(":00"))).otherwise(with_seconds)
-    return F.when(text.rlike(ISO_WITH_OFFSET), full.try_cast("timestamp"))
+    other = F.when(text.rlike(ISO_WITH_OFFSET), full.try_cast("timestamp"))
+    return F.when(c.rlike(PLAIN_UTC), c.try_cast("timestamp")).otherwise(other)
 
 
 def lacks_offset(c: Column) -> Column:

@@ -40,7 +40,7 @@ def row_errors(batch: DataFrame, spec: EntitySpec, logical_date: Column) -> Data
     """Rules that need only the row: all are evaluated in one pass."""
     key, operation = strip_all(F.col(spec.key)), F.col("operation")
     stamp, day = strip_all(F.col("source_updated_at")), strip_all(F.col("business_date"))
-    instant, business = parse_utc_timestamp(F.col("source_updated_at")), parse_whole_date(day)
+    instant, business = parse_utc_timestamp(F.col("source_updated_at")), parse_whole_date(F.col("business_date"))
     no_offset = instant.isNull() & lacks_offset(F.col("source_updated_at"))
     rules = [
         _error(key == "", "blank_key", F.lit(f"blank {spec.key}")),

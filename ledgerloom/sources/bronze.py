@@ -8,7 +8,6 @@ from pyspark.sql import types as T
 
 from ledgerloom.functions.keys import source_record_hash
 from ledgerloom.functions.parsing import parse_day, parse_utc_timestamp, parse_whole_date, to_stored_type
-from ledgerloom.functions.text import strip_all
 from ledgerloom.operators.joins import hot_keys, lookup
 from ledgerloom.operators.versions import first_per_key
 from ledgerloom.specs import OPERATIONS, EntitySpec
@@ -28,7 +27,7 @@ def to_bronze(
         parse_utc_timestamp(F.col("source_updated_at")).alias("source_updated_at"),
         ingested_at.cast("timestamp").alias("ingested_at"),
         "operation",
-        parse_whole_date(strip_all(F.col("business_date"))).alias("business_date"),
+        parse_whole_date(F.col("business_date")).alias("business_date"),
         "source_row_number",
         source_record_hash(spec).alias("source_record_hash"),
         logical_date.cast("date").alias("logical_date"),
