@@ -66,13 +66,8 @@ def read_feed(w: Warehouse) -> DataFrame:
         F.lit(n).alias("entity"), landing.arrival_date(c("_file")).alias("logical_date"), joined_row(s)))
 
 
-@query("header_check")
-def header_check(w: Warehouse) -> DataFrame:
-    def one(date: str, spec) -> DataFrame:
-        checked = landing.header_report(w.spark, w.landing(date), spec)
-        return checked.groupBy("entity").agg(F.bool_and("is_expected").alias("is_expected")).withColumn(
-            "logical_date", day(date))
-    return union_all([one(d, s) for d in feeds.DATES for s in ENTITIES.values()])
+simple("header_check", lambda w: landing.header_report(w.spark, landed(w)).groupBy(
+    "entity", landing.arrival_date(c("file")).alias("logical_date")).agg(F.bool_and("is_expected").alias("is_expected")))
 
 
 @query("missing_files")
@@ -603,6 +598,16 @@ def file_reuse(w: Warehouse) -> DataFrame:
     return control.reused_files(w.files(), other)
 
 
+@query("control_constraints")
+def control_constraints(w: Warehouse) -> DataFrame:
+    """Copies of the control tables with some rows doubled or mislabelled."""
+    batches, files = w.batches(), w.files()
+    lost = F.when(F.day("logical_date") == 9, F.lit("lost")).otherwise(c("status"))
+    doubled = batches.withColumn("status", lost).unionByName(batches.where(F.day("logical_date") == 7))
+    moved = files.where(F.day("logical_date") == 5).withColumn("pipeline_name", F.lit("retail_copy"))
+    return control.constraint_violations(doubled, files.withColumn("status", lost).unionByName(moved))
+
+
 # --- monitoring ---------------------------------------------------------------------------------------
 
 simple("batches_stale", lambda w: monitor.batches_stale(w.batches(), AS_OF))

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from ledgerloom import specs
 from ledgerloom.functions.keys import batch_id
+from ledgerloom.plans import datatests
+from ledgerloom.plans.quality import union_all
 from ledgerloom.sources.store import TableStore
 from ledgerloom.specs import ENTITIES
 
@@ -176,6 +178,26 @@ def advance_watermark(watermarks: DataFrame, candidates: DataFrame) -> DataFrame
     return best.select("pipeline_name", "w.*")
 
 
+def constraint_violations(batches: DataFrame, files: DataFrame) -> DataFrame:
+    """What a database would refuse: repeated keys and unknown states, counted per value."""
+    def repeated(df: DataFrame, table: str, rule: str, keys: list[str]) -> DataFrame:
+        value = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
+        return datatests.unique(df.select(value.alias("value")), "value").select(
+            F.lit(table).alias("table_name"), F.lit(rule).alias("rule"), "value", "n_records")
+
+    def unknown_state(df: DataFrame, table: str, states: list[str]) -> DataFrame:
+        return datatests.accepted_values(df, "status", states).select(
+            F.lit(table).alias("table_name"), F.lit("status").alias("rule"), F.col("status").alias("value"), "n_records")
+
+    return union_all([
+        repeated(batches, "ingestion_batches", "one_per_day", DAY_KEY),
+        unknown_state(batches, "ingestion_batches", specs.BATCH_STATUSES),
+        repeated(files, "ingested_files", "one_per_file", FILE_KEY),
+        repeated(files, "ingested_files", "bytes_once", ["source_file", "file_checksum"]),
+        unknown_state(files, "ingested_files", specs.FILE_STATUSES),
+    ])
+
+
 class ControlTables:
     """The stored control state of one pipeline. One writer per pipeline is a precondition."""
 

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import csv
-import io
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -40,32 +38,27 @@ def require_files(spark: SparkSession, directory: str) -> None:
         raise FileNotFoundError(f"Missing source files in {directory}: {', '.join(absent)}")
 
 
-def _lines_with_place(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.text(path).select(
-        "value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("_at"),
-        F.col("_metadata.file_block_start").alias("_block"),
-    )
-
+def header_report(spark: SparkSession, directories: str | list[str]) -> DataFrame:
+    """Each landed file's first line and whether it is the expected header.
 
-def header_report(spark: SparkSession, directory: str, spec: EntitySpec) -> DataFrame:
-    """Each part file's first line, and whether it is the expected header."""
-    opening = _lines_with_place(spark, entity_path(directory, spec)).where("_block = 0")
-    found = opening.groupBy("file").agg(F.min_by("value", "_at").alias("found"))
-    expected = ",".join(spec.csv_columns)
-    return found.select(
-        F.lit(spec.name).alias("entity"), F.lit(expected).alias("expected"), "found",
-        (F.regexp_replace("found", '["\r]', "") == expected).alias("is_expected"),
-    )
+    Only first lines are read, one per file.
+    """
+    files, rows = Files(spark), []
+    for spec in ENTITIES.values():
+        for path in entity_paths(directories, spec):
+            for file in files.data_files(path):
+                found = files.first_line(file)
+                names = next(csv.reader([found or ""]), [])
+                rows.append((spec.name, file, found, names == spec.csv_columns))
+    return spark.createDataFrame(rows, "entity string, file string, found string, is_expected boolean")
 
 
 def check_headers(spark: SparkSession, directory: str) -> None:
     """Names and order must equal the contract in every file of a batch."""
-    reports = [header_report(spark, directory, spec) for spec in ENTITIES.values()]
-    wrong = reduce(DataFrame.unionByName, reports).where("not is_expected").limit(1).collect()
+    wrong = header_report(spark, directory).where("not is_expected").orderBy("file").limit(1).collect()
     if wrong:
         expected = ENTITIES[wrong[0]["entity"]].csv_columns
-        got = next(csv.reader(io.StringIO(wrong[0]["found"])), [])
-        raise ValueError(f"Unexpected header for {wrong[0]['entity']}. Expected {expected}, got {got}")
+        raise ValueError(f"Unexpected header in {wrong[0]['file']}. Expected {expected}, got {wrong[0]['found']}")
 
 
 def has_quoted_line_breaks(spark: SparkSession, paths: list[str]) -> bool:

@@ -51,6 +51,24 @@ class Files:
         target, fs = self._at(path)
         return sorted(s.getPath().getName() for s in fs.listStatus(target)) if fs.exists(target) else []
 
+    def data_files(self, path: str) -> list[str]:
+        """The file itself, or the visible files of a directory in name order."""
+        target, fs = self._at(path)
+        if not fs.exists(target):
+            return []
+        found = [s.getPath() for s in fs.listStatus(target) if s.isFile()]
+        return sorted(p.toString() for p in found if p.getName()[0] not in "_.")
+
+    def first_line(self, path: str) -> str | None:
+        """A text file's first line; only its first block is opened."""
+        target, fs = self._at(path)
+        java = self._sc._jvm.java.io
+        reader = java.BufferedReader(java.InputStreamReader(fs.open(target), "UTF-8"))
+        try:
+            return reader.readLine()
+        finally:
+            reader.close()
+
     def read_text(self, path: str) -> str:
         target, fs = self._at(path)
         stream = fs.open(target)

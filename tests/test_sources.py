@@ -74,7 +74,10 @@ def test_headers_must_match_in_order(spark, batch_dir):
     landing.check_headers(spark, str(batch_dir))
     swapped = [ITEMS.csv_columns[1], ITEMS.csv_columns[0], *ITEMS.csv_columns[2:]]
     write_csv(batch_dir / "order_items.csv", ITEMS, [item("1")], header=swapped)
-    with pytest.raises(ValueError, match="Unexpected header for order_items"):
+    with pytest.raises(ValueError, match="Unexpected header in .*order_items.csv"):
+        landing.check_headers(spark, str(batch_dir))
+    (batch_dir / "order_items.csv").write_text("")
+    with pytest.raises(ValueError, match="got None"):
         landing.check_headers(spark, str(batch_dir))
 
 
@@ -132,7 +135,9 @@ def test_files_helper_lists_and_replaces(spark, tmp_path):
     files.replace_text(str(tmp_path / "d" / "p"), "two")
     assert files.read_text(str(tmp_path / "d" / "p")) == "two"
     assert files.names(str(tmp_path / "d")) == ["p"] or files.names(str(tmp_path / "d"))[-1] == "p"
-    assert files.names(str(tmp_path / "none")) == []
+    assert files.names(str(tmp_path / "none")) == [] == files.data_files(str(tmp_path / "none"))
+    assert [f.rsplit("/", 1)[1] for f in files.data_files(str(tmp_path / "d"))] == ["p"]
+    assert files.first_line(str(tmp_path / "d" / "p")) == "two"
 
 
 def test_profile_of_a_small_batch(spark, tmp_path):
