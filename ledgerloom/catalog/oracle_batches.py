@@ -45,7 +45,7 @@ FROM (SELECT DISTINCT source_record_hash, operation, logical_date FROM bronze_{e
 GROUP BY logical_date"""), *BRONZE)
 oracle("committed_rows", per_entity(lambda e, s: f"""SELECT logical_date, operation, count(*) AS row_count, '{e}' AS entity
 FROM feed_{e} WHERE logical_date <= {UPDATE} GROUP BY logical_date, operation"""), *FEEDS)
-oracle("evolve_schema", """SELECT customer_id, first_name, NULL::VARCHAR AS push_opt_in, NULL::VARCHAR AS preferred_category,
+oracle("evolve_schema", """SELECT customer_id, first_name, true AS push_opt_in_missing, true AS preferred_category_missing,
   source_record_hash FROM bronze_customers""", "bronze_customers")
 oracle("convert_types", f"""SELECT trim(order_id)::BIGINT AS order_id, nullif(order_value, '')::DECIMAL(12,2) AS order_value,
   {boolean('attributed_to_promo')} AS attributed_to_promo, business_date::DATE AS business_date,

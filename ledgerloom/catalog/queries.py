@@ -149,7 +149,8 @@ def evolve_schema(w: Warehouse) -> DataFrame:
     spec = ENTITIES["customers"]
     older = w.bronze("customers").drop("preferred_category", "push_opt_in")
     return bronze.evolve_schema(older, spec).select(
-        "customer_id", "first_name", "push_opt_in", "preferred_category", "source_record_hash")
+        "customer_id", "first_name", c("push_opt_in").isNull().alias("push_opt_in_missing"),
+        c("preferred_category").isNull().alias("preferred_category_missing"), "source_record_hash")
 
 
 @query("convert_types")
@@ -530,7 +531,8 @@ def control_upsert(w: Warehouse) -> DataFrame:
         *[F.sum(x).alias(x) for x in control.COUNTS[:-1]], F.max("last_source_updated_at").alias("last_source_updated_at"),
         F.max("started_at").alias("completed_at"))
     open_totals = totals.join(started.where("status = 'started'").select("batch_id"), "batch_id", "left_semi")
-    return control.publish_batches(started, open_totals)
+    published = control.publish_batches(started, open_totals)
+    return published.withColumn("has_error", c("error_message").isNotNull()).drop("error_message")
 
 
 simple("files_match", lambda w: control.files_match(w.files(), delivered(w)))
@@ -624,6 +626,8 @@ simple("latest_run_duration", lambda w: monitor.newest(w.runs(), "execution_date
     K.duration_seconds(c("start_date"), c("end_date"), monitor.moment(AS_OF)).alias("seconds")))
 simple("run_success_rate", lambda w: monitor.run_success_rate(w.runs(), AS_OF))
 simple("run_daily_counts", lambda w: monitor.run_daily_counts(w.runs()))
+simple("run_counts_in_range", lambda w: monitor.run_daily_counts(
+    monitor.within(w.runs(), "execution_date", "2024-01-08 00:00:00", "2024-01-21 12:00:00")))
 simple("run_history", lambda w: monitor.run_history(w.runs(), AS_OF))
 simple("run_durations", lambda w: monitor.run_durations(w.runs(), AS_OF))
 simple("run_failures", lambda w: monitor.run_failures(w.runs()))

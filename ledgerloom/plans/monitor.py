@@ -22,6 +22,11 @@ def moment(as_of: str) -> Column:
     return F.lit(as_of).cast("timestamp")
 
 
+def within(df: DataFrame, column: str, since: str, until: str) -> DataFrame:
+    """Rows of a dashboard's time range, both ends included."""
+    return df.where(F.col(column).between(moment(since), moment(until)))
+
+
 def newest(df: DataFrame, column: str, n: int = TABLE_ROWS, *ties: str) -> DataFrame:
     """Top rows by a column, newest first."""
     return df.orderBy(F.col(column).desc(), *ties).limit(n)
