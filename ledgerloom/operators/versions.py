@@ -116,9 +116,10 @@ def assign_next_ids(rows: DataFrame, known: DataFrame, order_by: str, block: int
     blocked = rows.withColumn("_block", F.floor(F.col(order_by) / F.lit(block)))
     sizes = blocked.groupBy("_block").agg(F.count("*").alias("_size"))
     running = F.sum("_size").over(W.orderBy("_block").rowsBetween(W.unboundedPreceding, -1))
-    starts = sizes.select("_block", F.coalesce(running, F.lit(0)).alias("_start"))
-    top = known.agg(F.coalesce(F.max("key"), F.lit(0)).alias("_top"))
+    top = known.agg(F.coalesce(F.max("key"), F.lit(0)).alias("_top")).withColumn("_one", F.lit(1))
+    starts = sizes.select("_block", F.coalesce(running, F.lit(0)).alias("_start"), F.lit(1).alias("_one"))
+    bases = starts.join(F.broadcast(top), "_one").select("_block", (F.col("_start") + F.col("_top")).alias("_base"))
     ranked = blocked.withColumn("_rank", F.row_number().over(W.partitionBy("_block").orderBy(order_by)))
-    numbered = ranked.join(starts, "_block").crossJoin(F.broadcast(top))
-    next_id = F.col("_top") + F.col("_start") + F.col("_rank")
-    return numbered.withColumn("next_id", next_id).drop("_block", "_start", "_rank", "_top")
+    numbered = ranked.join(bases, "_block")
+    next_id = F.col("_base") + F.col("_rank")
+    return numbered.withColumn("next_id", next_id).drop("_block", "_base", "_rank")

@@ -72,11 +72,14 @@ def volume_vs_trailing(batches: DataFrame) -> DataFrame:
     """
     recent = newest(batches.where("status = 'completed'"), "logical_date", 8)
     ranked = recent.withColumn("_rank", F.row_number().over(W.orderBy(F.col("logical_date").desc())))
-    latest = ranked.where("_rank = 1").select("rows_received")
-    before = ranked.where("_rank > 1").agg(F.sum("rows_received").alias("_sum"), F.count("*").alias("_n"))
-    ratio = F.lit(700).cast("decimal(5,0)") * F.col("rows_received").cast("decimal(19,0)") / F.col("_sum").cast("decimal(19,0)")
+    earlier = F.when(F.col("_rank") > 1, F.col("rows_received"))
+    both = ranked.agg(
+        F.max(F.when(F.col("_rank") == 1, F.col("rows_received"))).alias("_latest"),
+        F.sum(earlier).cast("decimal(19,0)").alias("_sum"), F.count(earlier).alias("_n"),
+    ).where("_latest is not null")
+    ratio = F.lit(700).cast("decimal(5,0)") * F.col("_latest").cast("decimal(19,0)") / F.col("_sum")
     percent = F.when((F.col("_n") == 7) & (F.col("_sum") != 0), rounded(ratio))
-    return latest.crossJoin(F.broadcast(before)).select(percent.alias("percent"))
+    return both.select(percent.alias("percent"))
 
 
 def latest_files(files: DataFrame) -> DataFrame:

@@ -189,9 +189,9 @@ class Pipeline:
             written = self.all_bronze(name).where((F.col("attempt_id") == attempt) & (F.col("logical_date") == day))
             received = rows.agg(
                 F.count("*").alias("rows_received"), F.max("source_updated_at").alias("last_source_updated_at"))
-            counted = written.agg(*bronze.operation_counts()).crossJoin(received)
-            return counted.select(
-                F.lit(self.name).alias("pipeline_name"), day.alias("logical_date"), file_name.alias("source_file"),
+            counted = written.agg(*bronze.operation_counts()).withColumn("source_file", file_name)
+            return counted.join(received.withColumn("source_file", file_name), "source_file").select(
+                F.lit(self.name).alias("pipeline_name"), day.alias("logical_date"), "source_file",
                 F.lit(identifier).alias("batch_id"), F.lit(sums[name]).alias("file_checksum"),
                 F.lit(now).alias("started_at"), F.lit(now).alias("completed_at"), *control.COUNTS[:-1],
                 "last_source_updated_at",

@@ -145,6 +145,6 @@ def batch_profile(df: DataFrame, spec: EntitySpec) -> DataFrame:
     return (
         inferred_types(df, spec.name, columns)
         .join(null_counts(df, spec.name, columns), ["table_name", "column_name"])
-        .crossJoin(row_counts(df, spec.name).select("row_count"))
-        .crossJoin(duplicate_rows(df, spec.name, columns).select("duplicate_row_count"))
+        .join(row_counts(df, spec.name), "table_name")
+        .join(duplicate_rows(df, spec.name, columns), "table_name")
     )
