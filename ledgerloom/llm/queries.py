@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, sql, url_filter
+from ledgerloom.llm import bpe, mixing, simhash, sql, toxicity, url_filter
 from ledgerloom.llm.tables import sha256_hex, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,7 +30,30 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", "n_tokens", sha256_hex(coded.token_ids).alias("ids_sha256"), sha256_hex(coded.decoded).alias("decoded_sha256"))
 
 
+@query
+def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mix of all sources for a budget of all tokens, none repeated more than one and a quarter times."""
+    docs = mixing.counted(table(spark, sf_dir, "documents"))
+    return mixing.mix(docs, repeats=1.25, block_tokens=1_000_000).drop("place")
+
+
+@query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A toxicity score for every document."""
+    docs = table(spark, sf_dir, "documents")
+    machine = toxicity.model_for(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, machine)
+    out = toxicity.held_out(scored["doc_id"])
+    return scored.select("doc_id", out.alias("held_out"), F.col("toxic_score").alias("score"), (F.col("toxic_score") >= 0.7).cast("int").alias("predicted"))
+
+
 @query
 def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's host, path, deciding rule and verdict."""
     return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
+@query
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint and near-duplicate component."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))

@@ -3,6 +3,40 @@
 from __future__ import annotations
 
 ORACLES = {
+    "op5_source_mix": r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS n FROM documents WHERE doc_id IS NOT NULL
+), sources AS (
+  SELECT source, sum(n)::BIGINT AS tokens FROM docs GROUP BY source HAVING sum(n) > 0
+), shares AS (
+  SELECT source, tokens, tokens::DOUBLE / sum(tokens) OVER () AS share, sum(tokens) OVER () AS total FROM sources
+), search(i, lo, hi) AS (
+  SELECT 0, 0.0::DOUBLE, 1.0::DOUBLE
+  UNION ALL
+  SELECT i + 1, CASE WHEN repeated <= 1.25 THEN lo ELSE mid END, CASE WHEN repeated <= 1.25 THEN mid ELSE hi END
+  FROM (SELECT i, lo, hi, (lo + hi) / 2 AS mid,
+               (SELECT max(pow(share, (lo + hi) / 2 - 1)) / sum(pow(share, (lo + hi) / 2)) FROM shares) AS repeated
+        FROM search WHERE i < 50)
+), chosen AS (
+  SELECT CASE WHEN (SELECT max(1 / share) / count(*) FROM shares) <= 1.25 THEN 0.0 ELSE hi END AS exponent FROM search WHERE i = 50
+), weights AS (
+  SELECT source, tokens, total, pow(share, (SELECT exponent FROM chosen)) / (SELECT sum(pow(share, (SELECT exponent FROM chosen))) FROM shares) AS weight FROM shares
+), plan AS (
+  SELECT source, tokens, weight, floor(weight * total + 1e-6)::BIGINT AS quota FROM weights
+), passes AS (
+  SELECT *, unnest(range(greatest(ceil(quota / tokens), 1)::BIGINT)) AS pass FROM plan
+), dealt AS (
+  SELECT doc_id, p.source, n, pass, tokens, weight, quota, md5('mix/' || pass || '/' || doc_id) AS place
+  FROM docs d JOIN passes p ON d.source IS NOT DISTINCT FROM p.source
+), started AS (
+  SELECT *, pass * tokens + coalesce(sum(n) OVER (PARTITION BY source, pass ORDER BY place, doc_id
+                                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+  FROM dealt
+)
+SELECT doc_id, source, n AS n_tokens, pass::INTEGER AS pass, start::BIGINT AS start,
+       floor(start / greatest(weight * 1000000, 1))::BIGINT AS block
+FROM started WHERE start + n <= quota
+""",
     "op8_url_rules": r"""
 WITH cut AS (
   SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
