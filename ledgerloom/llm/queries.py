@@ -8,13 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, mixing, simhash, sql, toxicity, url_filter
+from ledgerloom.llm import bpe, mixing, pii, simhash, sql, toxicity, url_filter
 from ledgerloom.llm.tables import sha256_hex, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = sql.ORACLES
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
+#: Whoever runs this over real data passes a secret of their own.
+PII_KEY = "corpus"
 
 
 def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -37,6 +39,13 @@ def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, repeats=1.25, block_tokens=1_000_000).drop("place")
 
 
+@query
+def op6_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text with surrogates in place of personal data."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymize(docs, PII_KEY)
+
+
 @query
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A toxicity score for every document."""
