@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, mixing, pii, simhash, sql, toxicity, url_filter
+from ledgerloom.llm import bpe, mixing, pii, simhash, sql, toxicity, url_filter, warc
 from ledgerloom.llm.tables import sha256_hex, table
+from ledgerloom.sources.store import fresh_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = sql.ORACLES
@@ -32,6 +33,13 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", "n_tokens", sha256_hex(coded.token_ids).alias("ids_sha256"), sha256_hex(coded.decoded).alias("decoded_sha256"))
 
 
+@query
+def op4_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's record as the archives give it back."""
+    archived = warc.archive(table(spark, sf_dir, "pages"), fresh_dir(spark, "warc"))
+    return archived.select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query
 def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mix of all sources for a budget of all tokens, none repeated more than one and a quarter times."""

@@ -3,6 +3,24 @@
 from __future__ import annotations
 
 ORACLES = {
+    "op4_warc_archive": r"""
+WITH bits AS (
+  SELECT page_id, sha1(coalesce(html, '')) AS sha1, strlen(coalesce(html, ''))::BIGINT AS payload_bytes,
+         list_reduce(list_prepend('', list_transform(range(40), lambda i: lpad(bin(('0x' || substr(sha1(coalesce(html, '')), i + 1, 1))::INTEGER), 4, '0'))),
+                     lambda a, b: a || b) AS bits
+  FROM pages
+), named AS (
+  SELECT page_id, sha1, payload_bytes,
+         list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           list_sum(list_transform(range(5), lambda j: (CASE WHEN substr(bits, 5 * i + j + 1, 1) = '1' THEN 16 >> j ELSE 0 END)))::BIGINT + 1, 1)),
+           'string_agg', '') AS payload_digest,
+         max(page_id) OVER (PARTITION BY sha1) AS newest
+  FROM bits
+)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = newest THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> newest THEN newest END AS refers_to
+FROM named
+""",
     "op5_source_mix": r"""
 WITH RECURSIVE docs AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS n FROM documents WHERE doc_id IS NOT NULL
