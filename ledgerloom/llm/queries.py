@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, mixing, pii, simhash, sql, toxicity, url_filter, warc
+from ledgerloom.llm import bpe, hash_forest, hnsw, mixing, pii, simhash, sql, toxicity, url_filter, warc
 from ledgerloom.llm.tables import sha256_hex, table
 from ledgerloom.sources.store import fresh_dir
 
@@ -26,6 +26,12 @@ def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
     return build
 
 
+@query
+def op1_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings at cosine 0.95 and above."""
+    return hnsw.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts and digests of the encoded and the decoded text."""
@@ -70,6 +76,12 @@ def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
 
+@query
+def op9_hash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest embeddings of every hundredth one."""
+    return hash_forest.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 @query
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's fingerprint and near-duplicate component."""
