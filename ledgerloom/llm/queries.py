@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, hash_forest, hnsw, mixing, pii, simhash, sql, toxicity, url_filter, warc
+from ledgerloom.llm import bpe, hash_forest, hnsw, mixing, pii, simhash, sql, substring, toxicity, url_filter, warc
 from ledgerloom.llm.tables import sha256_hex, table
 from ledgerloom.sources.store import fresh_dir
 
@@ -39,6 +39,13 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", "n_tokens", sha256_hex(coded.token_ids).alias("ids_sha256"), sha256_hex(coded.decoded).alias("decoded_sha256"))
 
 
+@query
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stays of every document without later repeats of twenty words."""
+    kept = substring.without_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", sha256_hex(kept.kept).alias("kept_sha256"))
+
+
 @query
 def op4_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's record as the archives give it back."""
