@@ -132,10 +132,14 @@ def windows_table(docs: DataFrame, window: int) -> DataFrame:
     return docs.mapInArrow(run, "anchor bigint, content bigint, doc_id bigint, start int")
 
 
-def later_places(rows: DataFrame, content: str) -> DataFrame:
-    """Rows (anchor, ``content``, doc_id, start) that are not the first place of their content."""
+def later_places(scratch: Scratch, rows: DataFrame, content: str) -> DataFrame:
+    """Rows (anchor, ``content``, doc_id, start) that are not the first place of their content.
+
+    First places are stored before the join, so that Spark can split what is crowded on the other side.
+    """
     place = F.struct("doc_id", "start")
     first = rows.groupBy("anchor", content).agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    first = scratch.save(first, f"first-{content}")
     return rows.join(first, ["anchor", content]).where("doc_id != first.doc_id or start != first.start").drop("first")
 
 
@@ -147,10 +151,10 @@ def repeats(docs: DataFrame, window: int = 20, seed: int = 6) -> DataFrame:
     named = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where("doc_id is not null")
     rows = scratch.save(seeds_table(named, window, seed), "seeds")
     shared = rows.groupBy("anchor").agg((F.min("stretch") != F.max("stretch")).alias("several"), F.count("*").alias("n")).where("n > 1").drop("n")
-    met = scratch.save(rows.join(shared, "anchor"), "met")
+    met = scratch.save(rows.join(scratch.save(shared, "shared"), "anchor"), "met")
     scratch.drop("seeds")
 
-    whole = later_places(met.select("anchor", "stretch", "doc_id", "start", "size"), "stretch")
+    whole = later_places(scratch, met.select("anchor", "stretch", "doc_id", "start", "size"), "stretch")
     whole = scratch.save(whole.select("doc_id", "start", (F.col("start") + F.col("size") + (window - 1)).alias("stop")), "whole")
     first = met.where("several").groupBy("anchor", "stretch").agg(F.min(F.struct("doc_id", "start", "size")).alias("first"))
     open_rows = first.select("first.doc_id", F.struct("anchor", "first.start", "first.size").alias("row"))
@@ -158,10 +162,10 @@ def repeats(docs: DataFrame, window: int = 20, seed: int = 6) -> DataFrame:
     scratch.drop("met")
 
     windows = scratch.save(windows_table(named.join(open_rows, "doc_id"), window), "windows")
-    edges = later_places(windows, "content").select("doc_id", "start", (F.col("start") + window).alias("stop"))
+    edges = later_places(scratch, windows, "content").select("doc_id", "start", (F.col("start") + window).alias("stop"))
     spans = whole.unionByName(edges.distinct()).groupBy("doc_id").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     spans = scratch.save(spans, "spans")
-    for name in ("open", "windows", "whole"):
+    for name in ("shared", "first-stretch", "open", "windows", "first-content", "whole"):
         scratch.drop(name)
     return spans
 
