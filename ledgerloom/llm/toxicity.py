@@ -1,13 +1,14 @@
 """Toxicity by a factorization machine over hashed terms.
 
-Terms are the distinct lower-cased letter runs of a text, known by a 64-bit hash. The machine gives
+Terms are the distinct lower-cased letter runs of a text and their beginnings, known by a 64-bit hash. The machine gives
 each term a weight and a short vector; a text's logit is the bias, the sum of its terms' weights,
 and the sum of the vector products of all its term pairs, so an insult beside a group mention
 weighs more than both alone. Pairs are summed in time linear in the terms.
 
 Only the fit is bounded: it uses at most ``per_class`` labelled texts of either label (those with
-the smallest hash of their id) and at most ``features`` terms (those whose chi-square with the label
-in that sample is largest and at least ``least_chi2``). Scoring covers every whole text.
+the smallest hash of their id) and at most ``features`` terms (those that toxic texts hold more often,
+whose chi-square with the label in that sample is largest and at least ``least_chi2``: harmless words
+are no evidence, so a long text does not outweigh its insults). Scoring covers every whole text.
 
 Defined results: null and empty texts get the score of the bias alone. Labels that are null, or
 whose id or text is missing, teach nothing; of repeated labels each counts. Without labels of both
@@ -29,6 +30,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.tables import Scratch, prepare
 
 LETTERS = re.compile(r"[^\W\d_]+")
+STEMS = (4, 5, 6)  # lengths of beginnings, which inflected forms of a word share
 
 
 @dataclass(frozen=True)
@@ -45,9 +47,10 @@ class Settings:
 
 
 def hashed_terms(text: str | None) -> np.ndarray:
-    """Sorted 64-bit hashes of the distinct letter runs."""
+    """Sorted 64-bit hashes of the distinct letter runs and of their beginnings, which are marked by a hyphen."""
     words = set(LETTERS.findall((text or "").lower()))
-    return np.sort(np.fromiter((xxhash.xxh3_64_intdigest(w.encode()) for w in words), np.uint64, len(words)).view(np.int64))
+    terms = [*words, *(f"{start}-" for size in STEMS for start in {w[:size] for w in words if len(w) > size})]
+    return np.sort(np.fromiter((xxhash.xxh3_64_intdigest(t.encode()) for t in terms), np.uint64, len(terms)).view(np.int64))
 
 
 @dataclass(frozen=True)
@@ -141,7 +144,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str, settings: Settings = S
     gap = F.col("pos") * n - F.col("df") * n1
     chi2 = gap * gap * n / (F.col("df") * (n - F.col("df")) * n1 * (n - n1))
     chosen = counts.where((F.col("df") >= settings.least_df) & (F.col("df") < n)).withColumn("chi2", chi2).where(
-        F.col("chi2") >= settings.least_chi2).orderBy(F.desc("chi2"), "term").limit(settings.features)
+        (F.col("chi2") >= settings.least_chi2) & (gap > 0)).orderBy(F.desc("chi2"), "term").limit(settings.features)
     terms = np.sort(np.array([r["term"] for r in chosen.select("term").collect()], np.int64))
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,16 +165,16 @@ def train(docs: DataFrame, labels: DataFrame, label: str, settings: Settings = S
 
 
 def score(docs: DataFrame, machine: Machine, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The ``keep`` columns and ``toxic_score``, 0 to 1."""
+    """The ``keep`` columns (none may be called toxic_score) and ``toxic_score``, 0 to 1."""
     spark = docs.sparkSession
     prepare(spark)
     sent = spark.sparkContext.broadcast(machine)
-    rows = docs.select(*keep, F.col(text).alias("_text"))
-    schema = ", ".join([f"`{n}` {t}" for n, t in rows.drop("_text").dtypes] + ["toxic_score double"])
+    rows = docs.select(*dict.fromkeys([*keep, text]))
+    schema = ", ".join([f"`{n}` {t}" for n, t in rows.select(*keep).dtypes] + ["toxic_score double"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = sent.value.scores([hashed_terms(t) for t in batch.column("_text").to_pylist()])
+            scores = sent.value.scores([hashed_terms(t) for t in batch.column(text).to_pylist()])
             yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in keep], pa.array(scores, pa.float64())], [*keep, "toxic_score"])
 
     return rows.mapInArrow(run, schema)
