@@ -23,7 +23,6 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ledgerloom.llm.tables import prepare
 
@@ -219,13 +218,13 @@ def encode(df: DataFrame, vocabulary: str, pattern: str, text: str = "text", kee
     spark = df.sparkSession
     prepare(spark)
     sent = spark.sparkContext.broadcast(read_vocabulary(vocabulary))
-    rows = df.select(*keep, F.col(text).alias("_text"))
-    schema = ", ".join([f"`{n}` {t}" for n, t in rows.drop("_text").dtypes] + ["n_tokens bigint", "token_ids binary"] + ["decoded binary"] * decoded)
+    rows = df.select(*dict.fromkeys([*keep, text]))
+    schema = ", ".join([f"`{n}` {t}" for n, t in rows.select(*keep).dtypes] + ["n_tokens bigint", "token_ids binary"] + ["decoded binary"] * decoded)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(sent.value, pattern)
         for batch in batches:
-            ids = list(coder.encode_texts(batch.column("_text").to_pylist()))
+            ids = list(coder.encode_texts(batch.column(text).to_pylist()))
             columns = [batch.column(n) for n in keep] + [pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())]
             names = [*keep, "n_tokens", "token_ids"]
             if decoded:
@@ -241,13 +240,13 @@ def decode(df: DataFrame, vocabulary: str, ids: str = "token_ids", keep: tuple[s
     spark = df.sparkSession
     prepare(spark)
     sent = spark.sparkContext.broadcast(read_vocabulary(vocabulary))
-    rows = df.select(*keep, F.col(ids).alias("_ids"))
-    schema = ", ".join([f"`{n}` {t}" for n, t in rows.drop("_ids").dtypes] + ["decoded binary"])
+    rows = df.select(*dict.fromkeys([*keep, ids]))
+    schema = ", ".join([f"`{n}` {t}" for n, t in rows.select(*keep).dtypes] + ["decoded binary"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(sent.value, "")
         for batch in batches:
-            out = [None if x is None else coder.decode(x) for x in batch.column("_ids").to_pylist()]
+            out = [None if x is None else coder.decode(x) for x in batch.column(ids).to_pylist()]
             yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in keep], pa.array(out, pa.binary())], [*keep, "decoded"])
 
     return rows.mapInArrow(run, schema)

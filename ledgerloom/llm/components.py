@@ -13,19 +13,27 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.tables import Scratch
 
 
-def star_step(links: DataFrame) -> DataFrame:
-    """One large-star and one small-star step over ordered links (high, low)."""
+def star_step(scratch: Scratch, links: DataFrame, step: int) -> DataFrame:
+    """One large-star and one small-star step over ordered links (high, low).
+
+    Minima are stored before they are joined: Spark splits the crowded keys of a join only where both
+    sides come straight from a shuffle.
+    """
     both = links.unionByName(links.select(F.col("low").alias("high"), F.col("high").alias("low")))
-    least = both.groupBy("high").agg(F.least(F.min("low"), F.col("high")).alias("root"))
+    least = scratch.save(both.groupBy("high").agg(F.least(F.min("low"), F.col("high")).alias("root")), f"large-least-{step}")
     larger = links.select(F.col("low").alias("high"), F.col("high").alias("node"))
     large = larger.join(least, "high").select(F.col("node").alias("high"), F.col("root").alias("low"))
     # A node's own root is below it or the node itself; the first kind stays a link.
     own = least.where("root < high").select("high", F.col("root").alias("low"))
-    links = large.unionByName(own).where("high > low").distinct()
+    large = scratch.save(large.unionByName(own).where("high > low").distinct(), f"large-{step}")
 
-    least = links.groupBy("high").agg(F.min("low").alias("root"))
-    small = links.join(least, "high").where("low > root").select(F.col("low").alias("high"), F.col("root").alias("low"))
-    return small.unionByName(least.select("high", F.col("root").alias("low"))).distinct()
+    least = scratch.save(large.groupBy("high").agg(F.min("low").alias("root")), f"small-least-{step}")
+    small = large.join(least, "high").where("low > root").select(F.col("low").alias("high"), F.col("root").alias("low"))
+    after = scratch.save(small.unionByName(least.select("high", F.col("root").alias("low"))).distinct(), f"links-{step}")
+    for name in ("large-least", "large", "small-least"):
+        scratch.drop(f"{name}-{step}")
+    scratch.drop(f"links-{step - 1}")
+    return after
 
 
 def components(scratch: Scratch, links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -39,6 +47,4 @@ def components(scratch: Scratch, links: DataFrame, a: str = "a", b: str = "b") -
         if seen == before or seen[0] == 0:
             return links.select(F.col("high").alias("node"), F.col("low").alias("component"))
         before, step = seen, step + 1
-        after = scratch.save(star_step(links), f"links-{step}")
-        scratch.drop(f"links-{step - 1}")
-        links = after
+        links = star_step(scratch, links, step)

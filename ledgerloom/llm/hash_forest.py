@@ -122,7 +122,7 @@ def nearest_neighbours(rows: DataFrame, asks: Column, vec_id: str = "vec_id", ve
     spark = rows.sparkSession
     prepare(spark)
     scratch = Scratch(spark, "forest")
-    placed, _ = with_shards(scratch.save(distinct_vectors(rows, vec_id, vector), "vectors"), settings.shard_rows)
+    placed, _ = with_shards(scratch, scratch.save(distinct_vectors(rows, vec_id, vector), "vectors"), settings.shard_rows)
     placed = scratch.save(placed, "placed")
     queries = placed.where(asks).select("vec_id", "vector", "dim", "shards")
     total = queries.count()

@@ -104,8 +104,8 @@ def drawn(kind: Column, value: Column, attempt: Column, key: str) -> Column:
         digest = F.sha2(F.concat_ws("/", seed, place.cast("string")), 256)
         return (F.conv(F.substr(digest, F.lit(1), F.lit(8)), 16, 10).cast("bigint") % below).cast("int")
 
-    def pick(choices, place):
-        return F.element_at(F.array(*[F.lit(c) for c in choices]), number(place, len(choices)) + 1)
+    def pick(characters, place):
+        return F.substr(F.lit(characters), number(place, len(characters)) + 1, F.lit(1))
 
     def letters(text, first, hexadecimal=False):
         """``text`` with every letter and digit drawn anew in its class; places count from ``first``."""
@@ -133,7 +133,8 @@ def drawn(kind: Column, value: Column, attempt: Column, key: str) -> Column:
 
     def series(choices, last, between):
         """Draws at places 0 to ``last``: every attempt adds one."""
-        return F.array_join(F.transform(F.sequence(F.lit(0), last), lambda i: pick(choices.split(), i)), between)
+        count = len(choices.split())
+        return F.array_join(F.transform(F.sequence(F.lit(0), last), lambda i: F.get(F.split(F.lit(choices), " "), number(i, count))), between)
 
     def given(gender):
         names = [F.lower(series(GIVEN[gender, script], attempt, "-")) for script in ("cyrillic", "latin")]

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm import bpe, hash_forest, hnsw, mixing, pii, simhash, sql, substring, toxicity, url_filter, warc
 from ledgerloom.llm.tables import sha256_hex, table
-from ledgerloom.sources.store import fresh_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = sql.ORACLES
@@ -49,7 +48,7 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's record as the archives give it back."""
-    archived = warc.archive(table(spark, sf_dir, "pages"), fresh_dir(spark, "warc"))
+    archived = warc.archive(table(spark, sf_dir, "pages"))
     return archived.select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

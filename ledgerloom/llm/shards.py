@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.tables import Scratch
+
 
 def usable(vector: Column) -> Column:
     """Neither null, empty nor zero, and without null or non-finite components."""
@@ -27,14 +29,15 @@ def distinct_vectors(rows: DataFrame, vec_id: str, vector: str) -> DataFrame:
     return named.where(F.col("vec_id").isNotNull() & usable(F.col("vector"))).distinct()
 
 
-def with_shards(vectors: DataFrame, rows: int) -> tuple[DataFrame, int]:
+def with_shards(scratch: Scratch, vectors: DataFrame, rows: int) -> tuple[DataFrame, int]:
     """Adds ``dim`` and ``shard``, a number within the dimension; also gives the number of vectors.
 
-    Vectors of different lengths have no distance, so each length has shards of its own. One row per
-    length comes to the driver's plan as a small table; Spark decides how to join it.
+    Vectors of different lengths have no distance, so each length has shards of its own. The counts
+    are a stored table of one row per length, whose size Spark knows when it joins them.
     """
     sized = vectors.withColumn("dim", F.size("vector"))
     counts = sized.groupBy("dim").agg(F.count("*").alias("n")).withColumn("shards", F.ceil(F.col("n") / rows).cast("int"))
+    counts = scratch.save(counts, "lengths")
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     spread = F.pmod(F.xxhash64("vec_id", "vector"), F.col("shards"))
     return sized.join(counts.drop("n"), "dim").withColumn("shard", spread.cast("int")), total

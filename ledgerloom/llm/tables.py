@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,9 +23,16 @@ SETTINGS = {
 
 
 def prepare(spark: SparkSession) -> None:
-    """Apply the settings to this session; every operator calls it first."""
+    """Apply the settings to this session and give executors this package; every operator calls it first."""
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    context = spark.sparkContext
+    if not getattr(context, "_ledgerloom_shipped", False):
+        # Spark serves the archive to every executor, wherever the driver found the package.
+        package = Path(__file__).resolve().parents[1]
+        archive = shutil.make_archive(f"{tempfile.mkdtemp()}/ledgerloom", "zip", package.parent, package.name)
+        context.addPyFile(archive)
+        context._ledgerloom_shipped = True
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

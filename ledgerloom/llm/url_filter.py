@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.tables import prepare
+from ledgerloom.llm.tables import Scratch, prepare
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 TOKEN = "[A-Za-z0-9]+"
@@ -121,6 +121,7 @@ def judge(pages: DataFrame, rules: list[Rule] | None = None, default: str = "all
     best = fits.groupBy("host", "path").agg(
         F.min(F.when(F.col("listed"), rank)).alias("listed"), F.min(F.when(~F.col("listed"), rank)).alias("free"),
     )
+    best = Scratch(pages.sparkSession, "urls").save(best, "best")
     return named.join(best, ["host", "path"], "left").select(
         "page_id", "host", "path", F.col("listed.name").alias("rule"),
         F.coalesce("listed.rule_verdict", "free.rule_verdict", F.lit(default)).alias("verdict"),

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.tables import prepare
+from ledgerloom.llm.tables import Scratch, prepare
 
 FILE_BYTES = 8_000_000
 ARC_BYTES = 1_000_000  # an ARC segment is closed once it is longer
@@ -251,19 +251,22 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     return files.mapInArrow(run, schema)
 
 
-def archive(pages: DataFrame, path: str, least_bytes: int = 0, version: int = 2) -> DataFrame:
-    """Archive ``pages`` (page_id, url, html) below ``path`` and read the archives back.
+def archive(pages: DataFrame, path: str | None = None, least_bytes: int = 0, version: int = 2) -> DataFrame:
+    """Archive ``pages`` (page_id, url, html) below ``path``, or in the shared folder, and read the archives back.
 
     Of records with equal payloads of at least ``least_bytes`` bytes the one with the largest id is the
     response, and the others revisit it.
     """
     spark = pages.sparkSession
     prepare(spark)
+    scratch = Scratch(spark, "warc")
+    path = path or f"{scratch.root}/archives"
     html = F.coalesce(F.col("html").cast("binary"), F.lit(b""))
     rows = pages.select(F.col("page_id").cast("bigint").alias("key"), F.col("url").cast("string").alias("url"), html.alias("html")).withColumn("sha1", F.sha1("html"))
     digests = rows.select("key", "sha1", F.octet_length("html").alias("bytes"))
     of_size = digests.where((F.col("bytes") >= least_bytes) & F.col("key").isNotNull())
     newest = of_size.groupBy("sha1").agg(F.max("key").alias("revisits"), F.count("*").alias("n")).where("n > 1").drop("n")
+    newest = scratch.save(newest, "newest")
     revisits = of_size.join(newest, "sha1").where("key < revisits").select("key", "sha1", "revisits").distinct()
     size = digests.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
     # The deal into files is also the join's: payloads are shuffled once.
