@@ -12,8 +12,8 @@ digest, and the last one stops before the quota is passed. The mix is cut into b
 ``block_tokens``; a document belongs to the block in which its source's running total begins, so
 every block holds the sources in their weights. Within a block documents follow their digests.
 
-Running totals never put a source into one task: a pass is cut by the digest's first two bytes into
-slices, slices are summed before they are shuffled, and totals run over the 65,536 slice sums of a
+Running totals never put a source into one task: a pass is cut by the digest's first twelve bits
+into slices, slices are summed before they are shuffled, and totals run over the 4,096 slice sums of a
 source and pass and, separately, inside each slice.
 
 Defined results: a null source is a source of its own. Null texts have no tokens; such documents
@@ -71,7 +71,8 @@ def mixture(docs: DataFrame, entropy: float | None = None, repeats: float | None
     whole = sources.agg(F.sum("tokens").alias("total"), F.sort_array(F.collect_list(F.struct("tokens", "source"))).alias("sources"))
     whole = whole.withColumn("shares", F.expr("transform(sources, x -> cast(x.tokens as double) / total)")).withColumn(
         "budget", F.lit(budget).cast("bigint") if budget is not None else F.col("total"))
-    whole = whole.withColumn("exponent", F.expr(exponent_sql(entropy, repeats)))
+    # Stored, so that the search runs once and not wherever its result is used.
+    whole = Scratch(docs.sparkSession, "mixture").save(whole.withColumn("exponent", F.expr(exponent_sql(entropy, repeats))), "exponent")
     whole = whole.withColumn("norm", F.expr("aggregate(shares, 0D, (s, x) -> s + pow(x, exponent))"))
     each = whole.select("total", "budget", "exponent", "norm", F.inline("sources"))
     each = each.withColumn("share", F.col("tokens").cast("double") / F.col("total"))
@@ -101,7 +102,7 @@ def mix(docs: DataFrame, entropy: float | None = None, repeats: float | None = N
     dealt = rows.join(passes, same).select(
         "doc_id", passes["source"], "n_tokens", "pass", "tokens", "weight", "quota",
         F.md5(F.concat_ws("/", F.lit(key), F.col("pass").cast("string"), F.col("doc_id").cast("string"))).alias("place"),
-    ).withColumn("slice", F.substring("place", 1, 4))
+    ).withColumn("slice", F.substring("place", 1, 3))
     sums = dealt.groupBy("source", "pass", "slice").agg(F.sum("n_tokens").alias("held"))
     over = Window.partitionBy("source", "pass").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select("source", "pass", "slice", F.coalesce(F.sum("held").over(over), F.lit(0)).alias("before"))
