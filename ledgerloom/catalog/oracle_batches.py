@@ -8,6 +8,7 @@ from ledgerloom.catalog.oracle_base import (
     phone_bad, quote, range_bad, record_hash, sig, token, union, unless, values_list, whole,
 )
 from ledgerloom.plans import datatests
+from ledgerloom.plans.profiling import NUMBER
 from ledgerloom.sources import feeds
 from ledgerloom.specs import ENTITIES
 
@@ -181,27 +182,27 @@ def row_errors(e: str, s) -> str:
     return union([
         error(e, key, "blank_key", f"'blank {s.key}'", src, f"{key} = ''"),
         error(e, key, "invalid_operation", "'invalid operation ''' || operation || ''''", src, "operation NOT IN ('I', 'U', 'D')"),
-        error(e, key, "source_time_without_offset", "'source_updated_at must include a UTC offset: ''' || source_updated_at || ''''", src, f"NOT {HAS_ZONE}"),
-        error(e, key, "source_time_off_date", "'source_updated_at is not on logical date'", src, f"({INSTANT})::DATE <> {DIRTY_DAY}"),
+        error(e, key, "source_time_without_offset", "'source_updated_at has no UTC offset: ''' || source_updated_at || ''''", src, f"NOT {HAS_ZONE}"),
+        error(e, key, "source_time_off_date", "'source_updated_at lies outside the batch date'", src, f"({INSTANT})::DATE <> {DIRTY_DAY}"),
         error(e, key, "invalid_business_date", "'invalid business_date ''' || business_date || ''''", src, f"({day}) IS NULL"),
-        error(e, key, "future_business_date", "'business_date is in the future'", src, f"({day}) > {DIRTY_DAY}"),
+        error(e, key, "future_business_date", "'business_date lies after the batch date'", src, f"({day}) > {DIRTY_DAY}"),
     ])
 
 
 def dup_keys(e: str, s) -> str:
     return f"""SELECT '{e}' AS entity, trim({s.key}) AS business_key, 'duplicate_key' AS rule,
-  'duplicate business key ''' || trim({s.key}) || ''' in one file' AS detail FROM dirty_{e} WHERE trim({s.key}) <> ''
+  'key ''' || trim({s.key}) || ''' occurs more than once' AS detail FROM dirty_{e} WHERE trim({s.key}) <> ''
 GROUP BY trim({s.key}) HAVING count(*) > 1"""
 
 
 def dup_versions(e: str, s) -> str:
     return f"""SELECT '{e}' AS entity, '' AS business_key, 'duplicate_version' AS rule,
-  'duplicate source version ' || h || ' in one file' AS detail FROM (SELECT {record_hash(e)} AS h FROM dirty_{e})
+  'version ' || h || ' occurs more than once' AS detail FROM (SELECT {record_hash(e)} AS h FROM dirty_{e})
 GROUP BY h HAVING count(*) > 1"""
 
 
 def absent_keys(e: str, s) -> str:
-    return error(e, s.key, "missing_existing_key", "operation || ' requires an existing business key'", f"dirty_{e}",
+    return error(e, s.key, "missing_existing_key", "operation || ' of a key that is not current'", f"dirty_{e}",
                  f"operation IN ('U', 'D') AND {s.key} NOT IN (SELECT {s.key} FROM current_{e} WHERE {s.key} IS NOT NULL)")
 
 
@@ -247,11 +248,15 @@ def duplicates(e: str, columns: list[str]) -> str:
     return f"SELECT coalesce(sum(n - 1), 0)::BIGINT FROM (SELECT count(*) AS n FROM update_{e} GROUP BY {', '.join(columns)})"
 
 
+def number(x: str) -> str:
+    return f"CASE WHEN regexp_matches({x}, '{NUMBER}') THEN try_cast({x} AS DOUBLE) END"
+
+
 def column_types(e: str, s) -> str:
     def one(c: str) -> str:
         shown = f"count(*) FILTER ({c} <> '')"
         ints = f"count(*) FILTER (regexp_matches({c}, '^\\s*[+-]?\\d+\\s*$') AND try_cast({c} AS BIGINT) IS NOT NULL)"
-        numbers = f"count(*) FILTER ({c} <> '' AND try_cast({c} AS DOUBLE) IS NOT NULL)"
+        numbers = f"count(*) FILTER ({number(c)} IS NOT NULL)"
         booleans = f"count(*) FILTER (lower({c}) IN ('true', 'false'))"
         return f"""SELECT '{e}' AS table_name, '{c}' AS column_name, CASE WHEN {shown} = 0 THEN 'double'
   WHEN {ints} = {shown} AND {shown} = count(*) THEN 'bigint' WHEN {numbers} = {shown} THEN 'double'
@@ -276,10 +281,6 @@ def issue(entity: str, name: str, severity: str, condition: str) -> str:
   '{severity}' AS severity FROM update_{entity}"""
 
 
-def number(x: str) -> str:
-    return f"try_cast({x} AS DOUBLE)"
-
-
 BARE = f"lower(trim(attributed_to_promo)) IN {values_list(specs.TRUE_TOKENS)} AND promotion_id = ''"
 RAW_ISSUES = "SELECT * FROM (" + union([
     issue("customers", "invalid_registration_date", "medium", f"registration_date <> '' AND ({date_of('registration_date')}) IS NULL"),

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom import specs
-from ledgerloom.catalog.warehouse import AS_OF, Warehouse, warehouse
+from ledgerloom.catalog.warehouse import AS_OF, OTHER, Warehouse, warehouse
 from ledgerloom.functions import keys as K
 from ledgerloom.functions import parsing as P
 from ledgerloom.functions import text as X
@@ -612,35 +612,38 @@ def control_constraints(w: Warehouse) -> DataFrame:
 
 # --- monitoring ---------------------------------------------------------------------------------------
 
-simple("batches_stale", lambda w: monitor.batches_stale(w.batches(), AS_OF))
-simple("latest_completed", lambda w: monitor.latest_completed(w.batches()))
-simple("batch_history", lambda w: monitor.batch_history(w.batches(), AS_OF))
-simple("batches_unfinished", lambda w: monitor.batches_unfinished(w.batches()))
-simple("batch_row_metrics", lambda w: monitor.batch_row_metrics(w.batches()))
-simple("volume_vs_trailing", lambda w: monitor.volume_vs_trailing(w.batches()))
-simple("latest_files", lambda w: monitor.latest_files(w.files()))
-simple("watermark_age", lambda w: monitor.watermark_age(w.watermarks(), AS_OF))
-simple("watermark_state", lambda w: monitor.watermark_state(w.watermarks(), AS_OF))
-simple("latest_run", lambda w: monitor.latest_run_state(w.runs()))
-simple("latest_run_duration", lambda w: monitor.newest(w.runs(), "execution_date", 1).select(
-    K.duration_seconds(c("start_date"), c("end_date"), monitor.moment(AS_OF)).alias("seconds")))
-simple("run_success_rate", lambda w: monitor.run_success_rate(w.runs(), AS_OF))
-simple("run_daily_counts", lambda w: monitor.run_daily_counts(w.runs()))
-simple("run_counts_in_range", lambda w: monitor.run_daily_counts(
-    monitor.within(w.runs(), "execution_date", "2024-01-08 00:00:00", "2024-01-21 12:00:00")))
-simple("run_history", lambda w: monitor.run_history(w.runs(), AS_OF))
-simple("run_durations", lambda w: monitor.run_durations(w.runs(), AS_OF))
-simple("run_failures", lambda w: monitor.run_failures(w.runs()))
-simple("latest_run_tasks", lambda w: monitor.latest_run_tasks(w.tasks(), w.runs()))
-simple("task_runs", lambda w: monitor.task_runs(w.tasks(), w.runs()))
-simple("task_durations", lambda w: monitor.task_durations(w.tasks(), w.runs()))
-simple("task_failures", lambda w: monitor.task_failures(w.tasks(), w.runs()))
-simple("task_retries", lambda w: monitor.task_retries(w.tasks(), w.runs()))
-simple("alert_latest_run_failed", lambda w: monitor.alert_latest_run_failed(w.runs()))
-simple("alert_watermark_stale", lambda w: monitor.alert_watermark_stale(w.watermarks(), AS_OF))
-simple("alert_batch_stuck", lambda w: monitor.alert_batch_stuck(w.batches(), AS_OF))
+# Every fixture holds a second pipeline and job; spans are a dashboard's time range.
+SPAN = ("2024-01-08 00:00:00", "2024-01-21 12:00:00")
+
+simple("batches_stale", lambda w: monitor.batches_stale(w.monitored_batches(), AS_OF))
+simple("latest_completed", lambda w: monitor.latest_completed(w.monitored_batches()))
+simple("batches_unfinished", lambda w: monitor.batches_unfinished(w.monitored_batches()))
+simple("volume_vs_trailing", lambda w: monitor.volume_vs_trailing(w.monitored_batches()))
+simple("latest_files", lambda w: monitor.latest_files(w.monitored_files()))
+simple("watermark_age", lambda w: monitor.watermark_age(w.monitored_watermarks(), AS_OF))
+simple("watermark_state", lambda w: monitor.watermark_state(w.monitored_watermarks(), AS_OF))
+simple("latest_run", lambda w: monitor.latest_run_state(w.monitored_runs()))
+simple("latest_run_duration", lambda w: monitor.latest_run_duration(w.monitored_runs(), AS_OF))
+simple("queued_run_duration", lambda w: monitor.latest_run_duration(w.monitored_runs(), AS_OF, OTHER))
+simple("run_success_rate", lambda w: monitor.run_success_rate(w.monitored_runs(), AS_OF))
+simple("latest_run_tasks", lambda w: monitor.latest_run_tasks(w.monitored_tasks(), w.monitored_runs()))
+simple("task_runs", lambda w: monitor.task_runs(w.monitored_tasks(), w.monitored_runs()))
+simple("run_counts_in_range", lambda w: monitor.run_daily_counts(w.monitored_runs(), SPAN))
+for _suffix, _span in (("", None), ("_in_range", SPAN)):
+    simple(f"batch_history{_suffix}", lambda w, span=_span: monitor.batch_history(w.monitored_batches(), AS_OF, span))
+    simple(f"batch_row_metrics{_suffix}", lambda w, span=_span: monitor.batch_row_metrics(w.monitored_batches(), span))
+    simple(f"run_history{_suffix}", lambda w, span=_span: monitor.run_history(w.monitored_runs(), AS_OF, span))
+    simple(f"run_durations{_suffix}", lambda w, span=_span: monitor.run_durations(w.monitored_runs(), AS_OF, span))
+    simple(f"run_failures{_suffix}", lambda w, span=_span: monitor.run_failures(w.monitored_runs(), span))
+    simple(f"task_durations{_suffix}", lambda w, span=_span: monitor.task_durations(w.monitored_tasks(), w.monitored_runs(), span))
+    simple(f"task_failures{_suffix}", lambda w, span=_span: monitor.task_failures(w.monitored_tasks(), w.monitored_runs(), span))
+    simple(f"task_retries{_suffix}", lambda w, span=_span: monitor.task_retries(w.monitored_tasks(), w.monitored_runs(), span))
+simple("run_daily_counts", lambda w: monitor.run_daily_counts(w.monitored_runs()))
+simple("alert_latest_run_failed", lambda w: monitor.alert_latest_run_failed(w.monitored_runs()))
+simple("alert_watermark_stale", lambda w: monitor.alert_watermark_stale(w.monitored_watermarks(), AS_OF))
+simple("alert_batch_stuck", lambda w: monitor.alert_batch_stuck(w.monitored_batches(), AS_OF))
 simple("alert_high_severity", lambda w: monitor.alert_high_severity(report(w)))
-simple("alert_rejected_rows", lambda w: monitor.alert_rejected_rows(w.batches()))
+simple("alert_rejected_rows", lambda w: monitor.alert_rejected_rows(w.monitored_batches()))
 
 
 # --- streaming ------------------------------------------------------------------------------------------

@@ -19,6 +19,7 @@ from ledgerloom.sources import feeds
 from ledgerloom.sources.store import TableStore, fresh_dir
 from ledgerloom.specs import ENTITIES
 
+OTHER = "retail_weekly"
 AS_OF = "2024-01-31 00:00:00"
 LANDING_WRITE = {
     "header": True, "quote": '"', "escape": '"', "emptyValue": "",
@@ -206,6 +207,39 @@ class Warehouse:
             F.col("value").alias("duration"),
         )
 
+    # --- the same with a second pipeline and job beside them --------------------
+    # The others share dates and run ids, are newer, and fail or retry: a query that mixes them is wrong.
+    def monitored_batches(self) -> DataFrame:
+        mine, later = self.batches(), F.expr("interval 3 days")
+        other = mine.withColumns({
+            "pipeline_name": F.lit(OTHER), "batch_id": batch_id(F.lit(OTHER), F.col("logical_date")), "status": F.lit("failed"),
+            "rows_received": F.col("rows_received") * 3, "rows_rejected": F.col("rows_received"),
+        })
+        completed = other.withColumns({"status": F.lit("completed"), "logical_date": F.to_date(F.col("logical_date") + later)})
+        return mine.unionByName(other).unionByName(completed)
+
+    def monitored_files(self) -> DataFrame:
+        mine = self.files()
+        return mine.unionByName(mine.withColumns({"pipeline_name": F.lit(OTHER), "logical_date": F.date_add("logical_date", 1)}))
+
+    def monitored_watermarks(self) -> DataFrame:
+        mine = self.watermarks()
+        older = F.col("updated_at") - F.expr("interval 9 days")
+        return mine.withColumns({"pipeline_name": F.lit(OTHER), "updated_at": older}).unionByName(mine)
+
+    def monitored_runs(self) -> DataFrame:
+        """The other job's runs share run ids; its newest one is queued and has not started."""
+        mine, never = self.runs(), F.lit(None).cast("timestamp")
+        other = mine.withColumns({"dag_id": F.lit(OTHER), "state": F.lit("failed")})
+        queued = other.withColumns({
+            "state": F.lit("queued"), "execution_date": F.col("execution_date") + F.expr("interval 30 days"), "start_date": never, "end_date": never,
+        })
+        return mine.unionByName(other).unionByName(queued)
+
+    def monitored_tasks(self) -> DataFrame:
+        mine = self.tasks()
+        return mine.unionByName(mine.withColumns({"dag_id": F.lit(OTHER), "state": F.lit("failed"), "try_number": F.lit(9)}))
+
 
 _open: dict[tuple[str, str], Warehouse] = {}
 _open_lock = threading.Lock()

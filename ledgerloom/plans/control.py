@@ -265,23 +265,23 @@ class ControlTables:
         row = self.batch(logical_date)
         if row is None:
             raise ControlError(
-                f"No ingestion batch found for pipeline_name={self.pipeline} and logical_date={logical_date}"
+                f"Nothing was ingested by {self.pipeline} for {logical_date}"
             )
         if row["status"] not in PUBLISHED:
-            raise ControlError(f"Unexpected ingestion batch status {row['status']!r} for batch {row['batch_id']}")
+            raise ControlError(f"Batch {row['batch_id']} stands at {row['status']!r} and cannot be rebuilt from")
         return row["status"] == "ingested"
 
     def complete(self, logical_date: date, now: datetime) -> bool:
         """Complete a date and advance the watermark; False if it was complete already."""
         row = self.batch(logical_date)
         if row is None:
-            raise ControlError(f"No ingestion batch exists for {self.pipeline}:{logical_date}")
+            raise ControlError(f"Nothing to complete for {self.pipeline} on {logical_date}")
         one = self.batches().where(F.col("batch_id") == row["batch_id"])
         decision = completion_checks(one, self.files()).collect()[0]["decision"]
         if decision == "noop":
             return False
         if decision != "complete":
-            raise ControlError(f"Batch {row['batch_id']} cannot be completed: {decision}")
+            raise ControlError(f"Batch {row['batch_id']} is not complete: {decision}")
         others = self.batches().where(F.col("batch_id") != row["batch_id"])
         done = complete_batches(one, self.files(), F.lit(now))
         # The watermark goes first: a crash between the two writes leaves the date ingested, and

@@ -160,7 +160,7 @@ class Pipeline:
         if decision == "noop":
             return {"batch_id": identifier, "idempotent_noop": True}
         if decision == "conflict":
-            raise ControlError("A successful batch exists for this date with different or incomplete files")
+            raise ControlError("This date was loaded from other files, or not from all of them")
         manifest = landing.manifest_checksum(checksums).collect()[0]["manifest_checksum"]
         self.control.start(logical_date, manifest, attempt, now)
         try:

@@ -11,6 +11,7 @@ from ledgerloom.plans.quality import Check, union_all, unpivot_counts
 from ledgerloom.specs import TRUE_TOKENS, EntitySpec
 
 SAMPLE_ROWS = 5
+NUMBER = r"^\s*[+-]?(\d+([.]\d*)?|[.]\d+)([eE][+-]?\d+)?\s*$"
 
 
 def missing(c: Column) -> Column:
@@ -66,7 +67,7 @@ def inferred_types(df: DataFrame, entity: str, columns: list[str]) -> DataFrame:
         F.count("*").alias("n_rows"),
         F.count_if(shown).alias("n"),
         F.count_if(shown & v.rlike(r"^\s*[+-]?\d+\s*\z") & v.try_cast("bigint").isNotNull()).alias("n_int"),
-        F.count_if(shown & v.try_cast("double").isNotNull()).alias("n_number"),
+        F.count_if(shown & number(v).isNotNull()).alias("n_number"),
         F.count_if(shown & F.lower(v).isin("true", "false")).alias("n_bool"),
     )
     whole = F.col("n") == F.col("n_rows")
@@ -86,7 +87,8 @@ def truthy(c: Column) -> Column:
 
 
 def number(c: Column) -> Column:
-    return c.try_cast("double")
+    """Decimal notation with an optional exponent; a cast alone would also take texts such as ``1d``."""
+    return F.when(c.rlike(NUMBER), c.try_cast("double"))
 
 
 def _flag(c: Column) -> Column:

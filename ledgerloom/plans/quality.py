@@ -159,7 +159,9 @@ def data_quality_report(current: dict[str, DataFrame], silver: dict[str, DataFra
 
 
 def by_severity(report: DataFrame) -> DataFrame:
-    return report.groupBy("severity").agg(F.sum("affected_row_count").alias("affected_rows"))
+    """Affected rows of each severity, most first."""
+    summed = report.groupBy("severity").agg(F.sum("affected_row_count").alias("affected_rows"))
+    return summed.orderBy(F.col("affected_rows").desc(), "severity")
 
 
 def high_total(report: DataFrame) -> DataFrame:

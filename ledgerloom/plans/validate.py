@@ -47,13 +47,13 @@ def row_errors(batch: DataFrame, spec: EntitySpec, logical_date: Column) -> Data
         _error(~operation.isin(specs.OPERATIONS), "invalid_operation",
                F.concat(F.lit("invalid operation "), quoted(operation))),
         _error(no_offset, "source_time_without_offset",
-               F.concat(F.lit("source_updated_at must include a UTC offset: "), quoted(stamp))),
+               F.concat(F.lit("source_updated_at has no UTC offset: "), quoted(stamp))),
         _error(instant.isNull() & ~no_offset, "invalid_source_time",
                F.concat(F.lit("invalid source_updated_at: "), quoted(stamp))),
         _error(instant.cast("date") != logical_date, "source_time_off_date",
-               F.lit("source_updated_at is not on logical date")),
+               F.lit("source_updated_at lies outside the batch date")),
         _error(business.isNull(), "invalid_business_date", F.concat(F.lit("invalid business_date "), quoted(day))),
-        _error(business > logical_date, "future_business_date", F.lit("business_date is in the future")),
+        _error(business > logical_date, "future_business_date", F.lit("business_date lies after the batch date")),
     ]
     found = batch.select(key.alias("_key"), F.explode(F.array_compact(F.array(*rules))).alias("e"))
     return error_rows(found, spec.name, F.col("_key"), F.col("e.rule"), F.col("e.detail"))
@@ -62,14 +62,14 @@ def row_errors(batch: DataFrame, spec: EntitySpec, logical_date: Column) -> Data
 def duplicate_keys(batch: DataFrame, spec: EntitySpec) -> DataFrame:
     """Stripped keys that occur more than once in the file; blank keys are another rule's."""
     counted = batch.groupBy(strip_all(F.col(spec.key)).alias("_key")).count().where("_key <> '' and count > 1")
-    detail = F.concat(F.lit("duplicate business key "), quoted(F.col("_key")), F.lit(" in one file"))
+    detail = F.concat(F.lit("key "), quoted(F.col("_key")), F.lit(" occurs more than once"))
     return error_rows(counted, spec.name, F.col("_key"), F.lit("duplicate_key"), detail)
 
 
 def duplicate_versions(batch: DataFrame, spec: EntitySpec) -> DataFrame:
     """Identical rows of one file, found by their version hash."""
     counted = batch.groupBy(source_record_hash(spec).alias("_hash")).count().where("count > 1")
-    detail = F.concat(F.lit("duplicate source version "), F.col("_hash"), F.lit(" in one file"))
+    detail = F.concat(F.lit("version "), F.col("_hash"), F.lit(" occurs more than once"))
     return error_rows(counted, spec.name, F.lit(""), F.lit("duplicate_version"), detail)
 
 
@@ -86,7 +86,7 @@ def missing_keys(batch: DataFrame, known: DataFrame, spec: EntitySpec) -> DataFr
     changes = batch.where("operation in ('U', 'D')").select(
         raw.alias("business_key"), raw.alias("_key"), "operation", "source_row_number"
     )
-    detail = F.concat("operation", F.lit(" requires an existing business key"))
+    detail = F.concat("operation", F.lit(" of a key that is not current"))
     absent = without_parent(changes, known)
     return error_rows(absent, spec.name, F.col("_key"), F.lit("missing_existing_key"), detail)
 

@@ -58,7 +58,7 @@ def check_headers(spark: SparkSession, directory: str) -> None:
     wrong = header_report(spark, directory).where("not is_expected").orderBy("file").limit(1).collect()
     if wrong:
         expected = ENTITIES[wrong[0]["entity"]].csv_columns
-        raise ValueError(f"Unexpected header in {wrong[0]['file']}. Expected {expected}, got {wrong[0]['found']}")
+        raise ValueError(f"{wrong[0]['file']} begins with {wrong[0]['found']!r} instead of {expected}")
 
 
 def has_quoted_line_breaks(spark: SparkSession, paths: list[str]) -> bool:

@@ -7,24 +7,25 @@ from dataclasses import dataclass
 from pyspark.sql import types as T
 
 # --- fixed values: column contracts -----------------------------------------
-CUSTOMER_COLUMNS = (
-    "customer_id first_name last_name email phone_number registration_date customer_segment "
-    "preferred_channel age_group income_level avg_order_value promo_sensitivity email_opt_in "
-    "sms_opt_in push_opt_in last_purchase_date total_lifetime_orders preferred_category"
-)
-PROMOTION_COLUMNS = (
-    "promotion_id campaign_name promo_type discount_value min_order_value start_date end_date "
-    "campaign_duration_days target_segment campaign_channel campaign_objective target_category "
-    "expected_response_rate budget_allocated cost_per_acquisition"
-)
-ORDER_COLUMNS = (
-    "order_id customer_id order_date order_status promotion_id order_channel order_value "
-    "attributed_to_promo customer_segment_at_time"
-)
-ORDER_ITEM_COLUMNS = (
-    "order_item_id order_id product_id product_category quantity unit_price promotion_id "
-    "attributed_to_promo"
-)
+CUSTOMER_COLUMNS = [
+    "customer_id", "first_name", "last_name", "email", "phone_number", "registration_date",
+    "customer_segment", "preferred_channel", "age_group", "income_level", "avg_order_value",
+    "promo_sensitivity", "email_opt_in", "sms_opt_in", "push_opt_in", "last_purchase_date",
+    "total_lifetime_orders", "preferred_category",
+]
+PROMOTION_COLUMNS = [
+    "promotion_id", "campaign_name", "promo_type", "discount_value", "min_order_value", "start_date",
+    "end_date", "campaign_duration_days", "target_segment", "campaign_channel", "campaign_objective",
+    "target_category", "expected_response_rate", "budget_allocated", "cost_per_acquisition",
+]
+ORDER_COLUMNS = [
+    "order_id", "customer_id", "order_date", "order_status", "promotion_id", "order_channel", "order_value",
+    "attributed_to_promo", "customer_segment_at_time",
+]
+ORDER_ITEM_COLUMNS = [
+    "order_item_id", "order_id", "product_id", "product_category", "quantity", "unit_price", "promotion_id",
+    "attributed_to_promo",
+]
 TRACKING_COLUMNS = ["operation", "source_updated_at", "business_date"]
 
 # --- fixed values: accepted labels ------------------------------------------
@@ -100,10 +101,10 @@ BRONZE_METADATA = T.StructType(
 ENTITIES: dict[str, EntitySpec] = {
     spec.name: spec
     for spec in (
-        EntitySpec("customers", "customers_raw", "customer_id", tuple(CUSTOMER_COLUMNS.split()), "registration_date"),
-        EntitySpec("promotions", "promotions_raw", "promotion_id", tuple(PROMOTION_COLUMNS.split()), "start_date"),
-        EntitySpec("orders", "orders_raw", "order_id", tuple(ORDER_COLUMNS.split()), "order_date"),
-        EntitySpec("order_items", "order_items_raw", "order_item_id", tuple(ORDER_ITEM_COLUMNS.split())),
+        EntitySpec("customers", "customers_raw", "customer_id", tuple(CUSTOMER_COLUMNS), "registration_date"),
+        EntitySpec("promotions", "promotions_raw", "promotion_id", tuple(PROMOTION_COLUMNS), "start_date"),
+        EntitySpec("orders", "orders_raw", "order_id", tuple(ORDER_COLUMNS), "order_date"),
+        EntitySpec("order_items", "order_items_raw", "order_item_id", tuple(ORDER_ITEM_COLUMNS)),
     )
 }
 

@@ -22,7 +22,7 @@ def batches(spark, rows):
 
 def run(hour, state):
     at = dt.datetime(2026, 9, 9, hour)
-    return ("d", f"r{hour}", at, "scheduled", state, at, at, None)
+    return ("retail_daily", f"r{hour}", at, "scheduled", state, at, at, None)
 
 
 def test_missing_state_still_gives_one_row(spark):
@@ -103,3 +103,21 @@ def test_starting_resets_open_batches_and_leaves_published_ones(spark):
     got = {r.logical_date.day: r for r in control.start_batches(frame, starting).collect()}
     assert [(got[d].status, got[d].rows_received, got[d].file_checksum) for d in (1, 2, 3)] == [
         ("started", 0, "new"), ("ingested", 6, "c"), ("started", 0, "new")]
+
+
+def test_other_pipelines_and_jobs_do_not_show(spark):
+    old, new = dt.datetime(2026, 9, 3), dt.datetime(2026, 9, 9, 23)
+    marks = spark.createDataFrame([("other", old.date(), "o", old, old), ("retail_daily", new.date(), "m", new, new)], control.WATERMARKS)
+    assert not monitor.alert_watermark_stale(marks, AS_OF).collect()[0].fires
+    assert monitor.alert_watermark_stale(marks, AS_OF, "other").collect()[0].fires
+    stuck = ("other", *batch(9, "failed")[1:])
+    mixed = batches(spark, [batch(8), (stuck[0], "other", *stuck[2:])])
+    assert not monitor.alert_batch_stuck(mixed, AS_OF).collect()[0].fires
+    assert monitor.alert_batch_stuck(mixed, AS_OF, "other").collect()[0].batch_id == "other"
+    runs = spark.createDataFrame([run(1, "success"), ("other", *run(1, "failed")[1:]), ("other", *run(2, "queued")[1:6], None, None)], RUNS)
+    at = dt.datetime(2026, 9, 9, 1)
+    tasks = spark.createDataFrame([(j, "r1", t, "success", 1, at, at, 1.0) for j, t in (("retail_daily", "mine"), ("other", "theirs"))],
+                                  "dag_id string, run_id string, task_id string, state string, try_number int, start_date timestamp, end_date timestamp, duration double")
+    assert [r.task_id for r in monitor.latest_run_tasks(tasks, runs).collect()] == ["mine"]
+    assert float(monitor.latest_run_duration(runs, AS_OF, "other").collect()[0].seconds) == 0
+    assert monitor.run_history(runs, AS_OF, ("2026-09-09 02:00:00", "2026-09-10 00:00:00")).count() == 0

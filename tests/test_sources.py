@@ -74,7 +74,7 @@ def test_headers_must_match_in_order(spark, batch_dir):
     landing.check_headers(spark, str(batch_dir))
     swapped = [ITEMS.csv_columns[1], ITEMS.csv_columns[0], *ITEMS.csv_columns[2:]]
     write_csv(batch_dir / "order_items.csv", ITEMS, [item("1")], header=swapped)
-    with pytest.raises(ValueError, match="Unexpected header in .*order_items.csv"):
+    with pytest.raises(ValueError, match="order_items.csv.* begins with"):
         landing.check_headers(spark, str(batch_dir))
     (batch_dir / "order_items.csv").write_text("")
     with pytest.raises(ValueError, match="got None"):
