@@ -40,9 +40,9 @@ class Settings:
     least_df: int = 4
     least_chi2: float = 10.83  # one term in a thousand passes by chance
     factors: int = 8
-    epochs: int = 30
-    rate: float = 0.1
-    l2: float = 1e-4
+    epochs: int = 40
+    rate: float = 0.2
+    l2: float = 1e-5
     seed: int = 7
 
 
