@@ -148,7 +148,7 @@ def feed_sql(entity: str, changes: list[feeds.Change], dirty: bool) -> str:
     return f"""SELECT CASE n {keys} END AS {spec.key},
   {texts},
   op AS operation, day || 'T' || {feeds.clock('k')} || zone AS source_updated_at, business AS business_date,
-  cast(2 + (k % 100000000) * {len(changes)} + n as int) AS source_row_number, cast(day as date) AS logical_date
+  cast(2 + k * {len(changes)} + n as bigint) AS source_row_number, cast(day as date) AS logical_date
 FROM (SELECT {carried} FROM {rule.source}) src
 CROSS JOIN (VALUES {rows}) change(n, day, op, bump, business, zone)
 WHERE CASE n {picked} END"""

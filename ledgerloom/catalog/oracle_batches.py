@@ -36,7 +36,7 @@ oracle("header_check", per_entity(lambda e, s: f"SELECT DISTINCT '{e}' AS entity
 oracle("missing_files", per_entity(lambda e, s: f"SELECT logical_date, '{e}.csv' AS file_name, false AS is_missing, count(*) AS row_count FROM feed_{e} GROUP BY logical_date"), *FEEDS)
 oracle("feed_operation", per_entity(lambda e, s: f"SELECT '{e}' AS entity, {s.key} AS raw_key, operation FROM dirty_{e}"), *DIRTY)
 oracle("row_number_lineage", per_entity(lambda e, s: f"""SELECT '{e}' AS entity, logical_date,
-  (1 + row_number() OVER (PARTITION BY logical_date ORDER BY source_row_number, {record_hash(e)}))::INTEGER AS source_row_number,
+  (1 + row_number() OVER (PARTITION BY logical_date ORDER BY source_row_number, {record_hash(e)}))::BIGINT AS source_row_number,
   {record_hash(e)} AS source_record_hash FROM feed_{e}"""), *FEEDS)
 oracle("record_hash", per_entity(lambda e, s: f"""SELECT '{e}' AS entity, {s.key} AS raw_key, logical_date, operation,
   {record_hash(e)} AS source_record_hash FROM feed_{e}"""), *FEEDS)
@@ -57,8 +57,22 @@ UNION ALL SELECT 'after', '{s.table}', 0"""), *FEEDS)
 oracle("batch_manifest", per_entity(lambda e, s: f"""SELECT logical_date, count(*) AS row_count, count(*) FILTER (operation = 'I') AS i_count,
   count(*) FILTER (operation = 'U') AS u_count, count(*) FILTER (operation = 'D') AS d_count, '{e}' AS entity
 FROM feed_{e} GROUP BY logical_date"""), *FEEDS)
-oracle("stream_ingest", per_entity(lambda e, s: f"""SELECT DISTINCT '{e}' AS entity, {s.key} AS raw_key, logical_date, operation,
-  source_updated_at, source_record_hash FROM bronze_{e}"""), *BRONZE)
+FIRST = f"DATE '{feeds.DATES[0]}'"
+REFERS = {
+    "customers": "", "promotions": "",
+    "orders": "AND customer_id IN (SELECT customer_id FROM sound_customers) AND (promotion_id = '' OR promotion_id IN (SELECT promotion_id FROM sound_promotions))",
+    "order_items": """AND order_id IN (SELECT order_id FROM sound_orders) AND product_id <> ''
+  AND (promotion_id = '' OR promotion_id IN (SELECT promotion_id FROM sound_promotions))""",
+}
+for _e, _s in ENTITIES.items():
+    cte(f"once_{_e}", f"""SELECT * FROM feed_{_e} WHERE logical_date = {FIRST} AND operation = 'I' AND trim({_s.key}) <> ''
+  AND strptime(source_updated_at, '%Y-%m-%dT%H:%M:%SZ')::DATE = {FIRST} AND business_date::DATE <= {FIRST}
+QUALIFY count(*) OVER (PARTITION BY trim({_s.key})) = 1""", f"feed_{_e}")
+    cte(f"sound_{_e}", f"SELECT * FROM once_{_e} WHERE true {REFERS[_e]}", f"once_{_e}",
+        *[f"sound_{p}" for p in ("customers", "promotions", "orders") if f"sound_{p}" in REFERS[_e]])
+oracle("stream_ingest", per_entity(lambda e, s: f"""SELECT '{e}' AS entity, {s.key} AS raw_key, logical_date, operation,
+  strptime(source_updated_at, '%Y-%m-%dT%H:%M:%SZ') AS source_updated_at, {record_hash(e)} AS source_record_hash FROM sound_{e}"""),
+       *[f"sound_{e}" for e in ENTITIES])
 
 # --- functions ------------------------------------------------------------------------------
 

@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom import specs
-from ledgerloom.catalog.warehouse import AS_OF, OTHER, Warehouse, warehouse
+from ledgerloom.catalog.warehouse import AS_OF, LANDING_WRITE, OTHER, Warehouse, warehouse
 from ledgerloom.functions import keys as K
 from ledgerloom.functions import parsing as P
 from ledgerloom.functions import text as X
 from ledgerloom.operators import versions as V
 from ledgerloom.plans import control, datatests, monitor, profiling, quality, silver, validate
+from ledgerloom.plans.pipeline import Pipeline
 from ledgerloom.plans.quality import union_all
 from ledgerloom.sources import bronze, feeds, landing, reports
 from ledgerloom.sources.store import fresh_dir
@@ -186,7 +187,6 @@ def issue_sink(w: Warehouse) -> DataFrame:
 @query("reset_empty")
 def reset_empty(w: Warehouse) -> DataFrame:
     """Rows readers see before and after a reset of the control tables."""
-    from ledgerloom.plans.pipeline import Pipeline
 
     pipeline = Pipeline(w.spark, fresh_dir(w.spark, "reset"))
     for name, spec in ENTITIES.items():
@@ -648,12 +648,42 @@ simple("alert_rejected_rows", lambda w: monitor.alert_rejected_rows(w.monitored_
 
 # --- streaming ------------------------------------------------------------------------------------------
 
+def acceptable(w: Warehouse, day_text: str) -> dict[str, DataFrame]:
+    """Inserts of one date that break no rule: unique keys, and references to each other."""
+    def inserts(name: str) -> DataFrame:
+        spec, key = ENTITIES[name], X.strip_all(c(ENTITIES[name].key))
+        rows = w.feed(name).where((c("logical_date") == day(day_text)) & (c("operation") == "I") & (key != "")).withColumn("_key", key)
+        on_date = P.parse_utc_timestamp(c("source_updated_at")).cast("date") == day(day_text)
+        rows = rows.where(on_date & (P.parse_whole_date(c("business_date")) <= day(day_text)))
+        once = rows.groupBy("_key").count().where("count = 1")
+        return rows.join(once, "_key", "left_semi").select(*spec.csv_columns, "source_row_number")
+
+    def known(rows: DataFrame, column: str, parent: str, blank_allowed: bool = False) -> DataFrame:
+        keys = kept[parent].select(F.col(ENTITIES[parent].key).alias(column)).distinct().withColumn("_known", F.lit(True))
+        fits = F.coalesce("_known", F.lit(False)) | (F.lit(blank_allowed) & (c(column) == ""))
+        return rows.join(keys, column, "left").where(fits).drop("_known")
+
+    kept = {name: inserts(name) for name in ("customers", "promotions")}
+    kept["orders"] = known(known(inserts("orders"), "customer_id", "customers"), "promotion_id", "promotions", True)
+    items = known(known(inserts("order_items"), "order_id", "orders"), "promotion_id", "promotions", True)
+    kept["order_items"] = items.where("product_id <> ''")
+    return kept
+
+
 @query("stream_ingest")
 def stream_ingest(w: Warehouse) -> DataFrame:
-    """All landed files streamed in, twice: the second stream finds only known hashes."""
+    """Published raw rows after streaming three dates: a sound one, the same rows again under a later
+    date (refused, as their times lie on the first), and one that lacks files. A second stream adds nothing."""
     root = fresh_dir(w.spark, "stream")
-    ingest.ingest_all(w.spark, w.landing(), f"{root}/bronze", f"{root}/checkpoint-1")
-    tables = ingest.ingest_all(w.spark, w.landing(), f"{root}/bronze", f"{root}/checkpoint-2")
-    return each(lambda n, s: tables[n].select(
+    first, again, partial_day = feeds.DATES
+    kept = acceptable(w, first)
+    for name, spec in ENTITIES.items():
+        rows = kept[name].orderBy("source_row_number").select(*spec.csv_columns)
+        for date in (first, again, *([partial_day] if name == "customers" else [])):
+            rows.write.options(**LANDING_WRITE).csv(f"{root}/incoming/{date}/{name}.csv")
+    pipeline = Pipeline(w.spark, f"{root}/warehouse")
+    for attempt in (1, 2):
+        ingest.ingest_all(pipeline, f"{root}/incoming", f"{root}/checkpoint-{attempt}")
+    return each(lambda n, s: pipeline.bronze(n).select(
         F.lit(n).alias("entity"), F.col(s.key).alias("raw_key"), "logical_date", "operation", "source_updated_at",
         "source_record_hash"))

@@ -232,7 +232,7 @@ def csv_feed(spark: SparkSession, sf_dir: str, entity: str, changes: list[Change
         "upper(op) as operation",
         f"day || 'T' || {clock('k')} || zone as source_updated_at",
         "business as business_date",
-        f"cast(2 + (k % 100000000) * {len(slices)} + n as int) as source_row_number",
+        f"cast(2 + k * {len(slices)} + n as bigint) as source_row_number",
         "cast(day as date) as logical_date",
         "k",
     )

@@ -38,18 +38,29 @@ def require_files(spark: SparkSession, directory: str) -> None:
         raise FileNotFoundError(f"Missing source files in {directory}: {', '.join(absent)}")
 
 
-def header_report(spark: SparkSession, directories: str | list[str]) -> DataFrame:
-    """Each landed file's first line and whether it is the expected header.
+def scan_files(spark: SparkSession, directories: str | list[str], spec: EntitySpec) -> DataFrame:
+    """file, found (its first line) and spans_lines (some quoted field has a line break) of one entity's files.
 
-    Only first lines are read, one per file.
+    One pass over the lines; a line inside such a field holds an odd number of quotes.
     """
-    files, rows = Files(spark), []
-    for spec in ENTITIES.values():
-        for path in entity_paths(directories, spec):
-            for file in files.data_files(path):
-                found = files.first_line(file)
-                names = next(csv.reader([found or ""]), [])
-                rows.append((spec.name, file, found, names == spec.csv_columns))
+    listed = [f for path in entity_paths(directories, spec) for f in Files(spark).data_files(path)]
+    names = spark.createDataFrame([(f, f.split(":", 1)[-1].lstrip("/")) for f in listed], "file string, _name string")
+    if not listed:
+        return names.select("file", F.lit(None).cast("string").alias("found"), F.lit(False).alias("spans_lines"))
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    place = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    lines = spark.read.text(listed).select("value", F.col("_metadata.file_path").alias("_path"), place.alias("_place"), (quotes % 2 == 1).alias("_odd"))
+    scanned = lines.groupBy(F.regexp_replace(F.url_decode("_path"), "^[a-z0-9]+:/+|^/+", "").alias("_name")).agg(
+        F.min_by("value", "_place").alias("found"), F.max("_odd").alias("spans_lines"))
+    return names.join(scanned, "_name", "left").select("file", "found", F.coalesce("spans_lines", F.lit(False)).alias("spans_lines"))
+
+
+def header_report(spark: SparkSession, directories: str | list[str]) -> DataFrame:
+    """Each landed file's first line and whether it is the expected header; an empty file has none."""
+    rows = [
+        (name, r["file"], r["found"], next(csv.reader([r["found"] or ""]), []) == spec.csv_columns)
+        for name, spec in ENTITIES.items() for r in scan_files(spark, directories, spec).collect()
+    ]
     return spark.createDataFrame(rows, "entity string, file string, found string, is_expected boolean")
 
 
@@ -61,31 +72,32 @@ def check_headers(spark: SparkSession, directory: str) -> None:
         raise ValueError(f"{wrong[0]['file']} begins with {wrong[0]['found']!r} instead of {expected}")
 
 
-def has_quoted_line_breaks(spark: SparkSession, paths: list[str]) -> bool:
-    """Whether some field spans lines: then a line holds an odd number of quotes."""
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    return not spark.read.text(paths).where(quotes % 2 == 1).isEmpty()
-
-
 def read_entity_csv(spark: SparkSession, directories: str | list[str], spec: EntitySpec) -> DataFrame:
     """All columns of one or more batches as text, missing values empty, operation normalised.
 
-    Files are split between tasks unless a quoted field spans lines; then each part
-    file is read whole, as a split could start inside a field.
+    Files are split between tasks, except those in which a quoted field spans lines: these are
+    read whole, as a split could start inside a field.
     """
-    paths = entity_paths(directories, spec)
-    whole = has_quoted_line_breaks(spark, paths)
-    raw = spark.read.options(**CSV_OPTIONS, multiLine=whole).schema(spec.csv_schema).csv(paths)
+    scanned = scan_files(spark, directories, spec).collect()
+    reader = spark.read.options(**CSV_OPTIONS).schema(spec.csv_schema)
+    parts = [
+        reader.option("multiLine", whole).csv(files)
+        for whole in (False, True) if (files := [r["file"] for r in scanned if r["spans_lines"] is whole])
+    ] or [spark.createDataFrame([], spec.csv_schema)]
     texts = [F.coalesce(F.col(c), F.lit("")).alias(c) for c in spec.columns]
-    return raw.select(
-        *texts,
-        normalise_operation(F.col("operation")).alias("operation"),
-        F.coalesce("source_updated_at", F.lit("")).alias("source_updated_at"),
-        F.coalesce("business_date", F.lit("")).alias("business_date"),
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_at"),
-    )
+    shaped = [
+        raw.select(
+            *texts,
+            normalise_operation(F.col("operation")).alias("operation"),
+            F.coalesce("source_updated_at", F.lit("")).alias("source_updated_at"),
+            F.coalesce("business_date", F.lit("")).alias("business_date"),
+            F.col("_metadata.file_path").alias("_file") if scanned else F.lit("").alias("_file"),
+            F.col("_metadata.file_block_start").alias("_block") if scanned else F.lit(0).cast("bigint").alias("_block"),
+            F.monotonically_increasing_id().alias("_at"),
+        )
+        for raw in parts
+    ]
+    return shaped[0] if len(shaped) == 1 else shaped[0].unionByName(shaped[1])
 
 
 def arrival_date(file_path: Column) -> Column:
@@ -111,7 +123,7 @@ def with_row_number(read: DataFrame) -> DataFrame:
     if splits_at_most <= BROADCAST_SPLITS:
         starts = F.broadcast(starts)
     numbered = read.join(starts, ["_file", "_block"])
-    return numbered.withColumn("source_row_number", (F.col("_at") + F.col("_shift")).cast("int")).drop(
+    return numbered.withColumn("source_row_number", (F.col("_at") + F.col("_shift")).cast("bigint")).drop(
         "_block", "_at", "_shift"
     )
 

@@ -92,7 +92,7 @@ BRONZE_METADATA = T.StructType(
         T.StructField("ingested_at", T.TimestampType()),
         T.StructField("operation", T.StringType()),
         T.StructField("business_date", T.DateType()),
-        T.StructField("source_row_number", T.IntegerType()),
+        T.StructField("source_row_number", T.LongType()),
         T.StructField("source_record_hash", T.StringType()),
         T.StructField("logical_date", T.DateType()),
     ]

@@ -1,79 +1,72 @@
-"""Streaming the landing directory into the raw layer.
+"""Streaming the landing directory into the raw layer, under the same contract as a batch load.
 
-Exactly once by version hash: each micro-batch appends only rows whose hash the raw layer
-lacks, so a replayed micro-batch or a re-delivered file adds nothing and no
-unbounded state is kept in the stream.
+The stream watches for files; the file source's checkpoint remembers which it has seen. Whenever files
+of a dated directory arrive and all four entities are there, the date is loaded: header,
+row and reference rules are checked, versions that are known already are left out, and rows become
+visible together through the date's batch row. A batch that breaks a rule is refused as a whole; its
+errors are kept with the attempt and its state says failed, and the stream goes on with other dates.
+
+A replayed micro-batch or a re-delivered directory loads nothing twice: the batch state makes it a no-op.
+Rows delivered again under a later date break the rule that a row's time lies on its date.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerloom import specs
-from ledgerloom.functions.keys import batch_id, source_file
-from ledgerloom.functions.text import normalise_operation
-from ledgerloom.sources.bronze import new_versions, to_bronze
-from ledgerloom.sources.landing import CSV_OPTIONS, arrival_date
-from ledgerloom.sources.store import Files
-from ledgerloom.specs import ENTITIES, EntitySpec
+from ledgerloom.plans.control import ControlError
+from ledgerloom.plans.pipeline import Pipeline
+from ledgerloom.plans.validate import BatchRejected
+from ledgerloom.sources.landing import arrival_date, missing_files
 
-def landing_stream(spark: SparkSession, directory: str, spec: EntitySpec) -> DataFrame:
-    """New files of one entity from the dated directories below ``directory``."""
-    raw = (
-        spark.readStream.options(**CSV_OPTIONS).option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.csv").schema(spec.csv_schema).csv(f"{directory.rstrip('/')}/*/{spec.name}.csv")
-    )
-    texts = [F.coalesce(F.col(c), F.lit("")).alias(c) for c in [*spec.columns, "source_updated_at", "business_date"]]
-    return raw.select(
-        *texts, normalise_operation(F.col("operation")).alias("operation"),
-        F.col("_metadata.file_path").alias("_file"),
-        arrival_date(F.col("_metadata.file_path")).alias("logical_date"),
-    )
+FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
+# What refuses a batch; anything else stops the stream.
+REFUSALS = (BatchRejected, ControlError, ValueError)
 
 
-def as_bronze(rows: DataFrame, spec: EntitySpec, pipeline: str, ingested_at: Column) -> DataFrame:
-    """Raw-layer rows of a micro-batch; the file's place, not a row number, is its lineage."""
-    day = F.col("logical_date")
-    name = source_file(spec.name, day)
-    numbered = rows.withColumn("source_row_number", F.lit(None).cast("int"))
-    return to_bronze(
-        numbered, spec, batch_id(F.lit(pipeline), day), day, name, F.sha2(F.col("_file"), 256), ingested_at
-    )
+def arrivals(pipeline: Pipeline, directory: str, files_at_once: int | None = None) -> DataFrame:
+    """Paths of files that arrive in dated directories; their bytes are not read here."""
+    reader = pipeline.spark.readStream.format("binaryFile").schema(FILE_SCHEMA).option("pathGlobFilter", "*.csv").option("recursiveFileLookup", True)
+    if files_at_once:
+        reader = reader.option("maxFilesPerTrigger", files_at_once)
+    return reader.load(directory).select("path")
+
 
+def load_dates(pipeline: Pipeline, directory: str, paths: DataFrame) -> dict[str, str]:
+    """Load every date that some of ``paths`` belong to and that is complete; what became of each."""
+    outcome = {}
+    dates = paths.select(arrival_date(F.col("path")).alias("day")).where("day is not null").distinct().orderBy("day")
+    for day in [row["day"] for row in dates.collect()]:  # one row per delivered date
+        place = f"{directory.rstrip('/')}/{day}"
+        if missing_files(pipeline.spark, place):
+            outcome[str(day)] = "incomplete"
+            continue
+        try:
+            result = pipeline.load(day, place)
+            outcome[str(day)] = "known" if result["idempotent_noop"] else "loaded"
+        except REFUSALS as refusal:
+            outcome[str(day)] = f"refused: {refusal}"
+    return outcome
 
-def start_ingest(
-    spark: SparkSession, directory: str, bronze_path: str, checkpoint: str, spec: EntitySpec,
-    pipeline: str = specs.DEFAULT_PIPELINE,
-) -> StreamingQuery:
-    """Append everything that has arrived since the last run, then stop."""
-    files = Files(spark)
 
-    def append(rows: DataFrame, _: int) -> None:
-        session = rows.sparkSession
-        batch = as_bronze(rows, spec, pipeline, F.current_timestamp())
-        if files.exists(bronze_path):
-            stored = session.read.schema(spec.bronze_schema).parquet(bronze_path)
-        else:
-            stored = session.createDataFrame([], spec.bronze_schema)
-        days = F.broadcast(rows.select("logical_date").distinct())
-        same_days = stored.join(days, "logical_date", "left_semi")
-        fresh = new_versions(same_days, batch).select(*batch.columns)
-        fresh.write.mode("append").partitionBy("logical_date").parquet(bronze_path)
+def start_ingest(pipeline: Pipeline, directory: str, checkpoint: str, outcomes: dict[str, str] | None = None,
+                 files_at_once: int | None = None) -> StreamingQuery:
+    """Load everything that has arrived since the last run, then stop; ``outcomes`` collects what became of dates."""
+    def load(paths: DataFrame, _: int) -> None:
+        found = load_dates(pipeline, directory, paths)
+        if outcomes is not None:
+            outcomes.update(found)
 
     return (
-        landing_stream(spark, directory, spec).writeStream.foreachBatch(append)
+        arrivals(pipeline, directory, files_at_once).writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
 
 
-def ingest_all(spark: SparkSession, directory: str, bronze_root: str, checkpoint_root: str) -> dict[str, DataFrame]:
-    """Run the entities' streams side by side to the end of what has arrived; returns the raw tables."""
-    paths = {name: f"{bronze_root}/{spec.table}" for name, spec in ENTITIES.items()}
-    running = [
-        start_ingest(spark, directory, paths[name], f"{checkpoint_root}/{name}", spec) for name, spec in ENTITIES.items()
-    ]
-    for stream in running:
-        stream.awaitTermination()
-    return {n: spark.read.schema(s.bronze_schema).parquet(paths[n]) for n, s in ENTITIES.items()}
+def ingest_all(pipeline: Pipeline, directory: str, checkpoint: str, files_at_once: int | None = None) -> dict[str, str]:
+    """Run the stream to the end of what has arrived; gives what became of each date."""
+    outcomes: dict[str, str] = {}
+    start_ingest(pipeline, directory, checkpoint, outcomes, files_at_once).awaitTermination()
+    return outcomes

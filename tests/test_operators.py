@@ -60,7 +60,7 @@ def test_state_as_of_folds_only_earlier_dates(spark):
 def test_available_keys_apply_the_last_operation_of_a_key(spark):
     known = spark.createDataFrame([("1",), ("2",), ("3",)], "business_key string")
     batch = spark.createDataFrame(
-        [("1", "D", 2), ("2", "D", 3), ("2", "I", 4), ("9", "U", 5), ("8", "X", 6)], "order_id string, operation string, source_row_number int")
+        [("1", "D", 2), ("2", "D", 3), ("2", "I", 4), ("9", "U", 5), ("8", "X", 6)], "order_id string, operation string, source_row_number bigint")
     assert sorted(r[0] for r in V.available_keys(known, batch, ORDERS).collect()) == ["2", "3", "9"]
 
 

@@ -45,11 +45,31 @@ def test_values_survive_quotes_commas_and_blanks(spark, batch_dir):
 
 def test_a_field_may_span_lines(spark, batch_dir):
     write_csv(batch_dir / "order_items.csv", ITEMS, [item("1", product_category="two\nlines"), item("2")])
-    assert landing.has_quoted_line_breaks(spark, [str(batch_dir / "order_items.csv")])
+    assert [r.spans_lines for r in landing.scan_files(spark, str(batch_dir), ITEMS).collect()] == [True]
     got = landing.with_row_number(landing.read_entity_csv(spark, str(batch_dir), ITEMS)).orderBy("source_row_number").collect()
     assert [(r.source_row_number, r.product_category) for r in got] == [(2, "two\nlines"), (3, "")]
 
 
+def test_only_part_files_with_line_breaks_are_read_whole(spark, tmp_path):
+    parts = tmp_path / "order_items.csv"
+    parts.mkdir()
+    for part in range(4):
+        texts = ["two\nlines" if (part, k) == (2, 7) else "x" * 50 for k in range(400)]
+        rows = [item(str(1000 * part + k), product_category=texts[k]) for k in range(400)]
+        write_csv(parts / f"part-{part}.csv", ITEMS, rows)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        read = landing.read_entity_csv(spark, str(tmp_path), ITEMS)
+        blocks = {r["name"]: r["n"] for r in read.groupBy(F.element_at(F.split("_file", "/"), -1).alias("name")).agg(F.count_distinct("_block").alias("n")).collect()}
+        assert blocks["part-2.csv"] == 1 and all(blocks[f"part-{k}.csv"] > 1 for k in (0, 1, 3))
+        numbered = landing.with_row_number(read).orderBy("source_row_number").collect()
+        assert [r.source_row_number for r in numbered] == list(range(2, 1602))
+        assert [r.order_item_id for r in numbered] == [str(1000 * part + k) for part in range(4) for k in range(400)]
+        assert numbered[807].product_category == "two\nlines"
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_row_numbers_hold_across_splits(spark, batch_dir):
     write_csv(batch_dir / "order_items.csv", ITEMS, [item(str(k), product_category="x" * 50) for k in range(3000)])
     spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
@@ -77,7 +97,7 @@ def test_headers_must_match_in_order(spark, batch_dir):
     with pytest.raises(ValueError, match="order_items.csv.* begins with"):
         landing.check_headers(spark, str(batch_dir))
     (batch_dir / "order_items.csv").write_text("")
-    with pytest.raises(ValueError, match="got None"):
+    with pytest.raises(ValueError, match="begins with None"):
         landing.check_headers(spark, str(batch_dir))
 
 
@@ -98,7 +118,7 @@ def test_checksums_are_those_of_the_bytes(spark, batch_dir):
 
 
 def test_only_unseen_hashes_are_new(spark):
-    schema = "source_record_hash string, source_row_number int, file_checksum string"
+    schema = "source_record_hash string, source_row_number bigint, file_checksum string"
     stored = spark.createDataFrame([("a", 2, "f")], schema)
     batch = spark.createDataFrame([("a", 2, "g"), ("b", 5, "g"), ("b", 3, "g"), ("c", 4, "g")], schema)
     got = {(r.source_record_hash, r.source_row_number) for r in bronze.new_versions(stored, batch).collect()}
