@@ -339,11 +339,9 @@ simple("line_total", lambda w: w.silver("order_items").select(
 
 
 def linked_orders(w: Warehouse) -> DataFrame:
-    current = w.current("orders")
     rows = texts(w, "orders").select("raw_key", c("promotion_id").alias("promotion_text"),
                                      P.digits_to_bigint(c("promotion_id")).alias("promotion_id"))
-    return silver.with_known(rows, w.silver("promotions"), "promotion_id", ["raw_key"],
-                             silver.hot_references(current, "promotion_id"))
+    return silver.with_known(rows, w.silver("promotions"), "promotion_id")
 
 
 simple("keep_if_referenced", lambda w: linked_orders(w).select(

@@ -2,52 +2,19 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_, or_
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-ROWS_PER_SLICE = 1_000_000
-NULL_SLICES = 1 << 16
-SLICE, SLICES = "_slice", "_slices"
-
-
-def hot_keys(rows: DataFrame, keys: list[str], rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
-    """Keys with more than ``rows_per_slice`` rows, and how many slices each needs.
-
-    At most ``rows / rows_per_slice`` keys qualify, which is what makes the result
-    safe to broadcast. Counts are combined map-side, so a hot key costs one row per task.
-    Rows that merely over-count (older versions, say) only add slices.
-    """
-    needed = F.ceil(F.col("count") / F.lit(rows_per_slice)).cast("int")
-    present = reduce(and_, (F.col(k).isNotNull() for k in keys))
-    return (
-        rows.where(present).groupBy(*keys).count()
-        .where(F.col("count") > rows_per_slice)
-        .select(*keys, needed.alias(SLICES))
-    )
-
 
-def lookup(child: DataFrame, parent: DataFrame, keys: list[str], row_id: list[str], hot: DataFrame) -> DataFrame:
+def lookup(child: DataFrame, parent: DataFrame, keys: list[str]) -> DataFrame:
     """Left join ``child`` to a ``parent`` that is unique on ``keys``.
 
-    Rows of a hot key are spread over that key's slices by a hash of ``row_id``, and only
-    those parent rows are repeated, once per slice. Rows with a NULL key match nothing and
-    are spread too. Which join runs is left to the optimizer, which sees the sizes.
+    A key, or NULL, that holds much of the child makes one large partition of the join's shuffle.
+    Adaptive execution splits such partitions at run time and repeats only the parent's few rows of
+    them, without counting keys first. For that ``parent`` has to be a stored table or a projection of one.
+    Which join runs is left to the optimizer, which sees the sizes.
     """
-    hot = F.broadcast(hot)
-    spread = F.xxhash64(*row_id)
-    no_key = reduce(or_, (F.col(k).isNull() for k in keys))
-    slices = F.coalesce(F.col(SLICES), F.lit(1))
-    own_slice = F.when(no_key, F.pmod(spread, F.lit(NULL_SLICES))).otherwise(F.pmod(spread, slices)).cast("int")
-    left = child.join(hot, keys, "left").withColumn(SLICE, own_slice).drop(SLICES)
-    right = (
-        parent.join(hot, keys, "left")
-        .withColumn(SLICE, F.explode(F.sequence(F.lit(0), slices - 1)))
-        .drop(SLICES)
-    )
-    return left.join(right, [*keys, SLICE], "left").drop(SLICE)
+    return child.join(parent, keys, "left")
 
 
 def unmatched_counts(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:

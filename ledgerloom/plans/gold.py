@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom import specs
 from ledgerloom.functions.keys import calendar_parts, date_key_or_unknown, product_key
-from ledgerloom.operators.joins import hot_keys, lookup
+from ledgerloom.operators.joins import lookup
 
 
 def with_unknown_member(df: DataFrame, **values) -> DataFrame:
@@ -71,11 +71,10 @@ def or_unknown(name: str):
 
 def fact_orders(orders: DataFrame, customers: DataFrame, promotions: DataFrame) -> DataFrame:
     """Orders with dimension keys. ``customers`` and ``promotions`` are the dimensions."""
-    row = ["order_id"]
     buyers = customers.select("customer_id", "customer_key")
     offers = promotions.select("promotion_id", "promotion_key")
-    keyed = lookup(orders, buyers, ["customer_id"], row, hot_keys(orders, ["customer_id"]))
-    keyed = lookup(keyed, offers, ["promotion_id"], row, hot_keys(orders, ["promotion_id"]))
+    keyed = lookup(orders, buyers, ["customer_id"])
+    keyed = lookup(keyed, offers, ["promotion_id"])
     return keyed.select(
         "order_id", or_unknown("customer_key"), or_unknown("promotion_key"),
         date_key_or_unknown(F.col("order_date")).alias("order_date_key"), "order_date", "order_status",
@@ -89,16 +88,14 @@ def fact_order_items(
     order_items: DataFrame, orders_fact: DataFrame, products: DataFrame, promotions: DataFrame
 ) -> DataFrame:
     """Positive lines of orders in the fact, with dimension keys."""
-    row = ["order_item_id"]
     lines = order_items.where("quantity > 0 and unit_price > 0").withColumn(
         "product_category", F.coalesce("product_category", F.lit(specs.UNKNOWN))
     )
     placed = orders_fact.select("order_id", F.col("order_id").alias("_fact_order"))
     offers = promotions.select("promotion_id", "promotion_key")
-    kept = lookup(lines, placed, ["order_id"], row, hot_keys(lines, ["order_id"])).where("_fact_order is not null")
-    pair = ["product_id", "product_category"]
-    keyed = lookup(kept, products, pair, row, hot_keys(lines, pair))
-    keyed = lookup(keyed, offers, ["promotion_id"], row, hot_keys(lines, ["promotion_id"]))
+    kept = lookup(lines, placed, ["order_id"]).where("_fact_order is not null")
+    keyed = lookup(kept, products, ["product_id", "product_category"])
+    keyed = lookup(keyed, offers, ["promotion_id"])
     return keyed.select(
         "order_item_id", "order_id", or_unknown("product_key"), or_unknown("promotion_key"), "quantity",
         "unit_price", "line_total", "attributed_to_promo",

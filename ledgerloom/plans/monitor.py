@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom import specs
 from ledgerloom.functions.keys import age_hours, duration_seconds, rounded
-from ledgerloom.operators.joins import hot_keys, lookup, presence
+from ledgerloom.operators.joins import lookup, presence
 from ledgerloom.plans.control import COUNTS
 
 TABLE_ROWS = 100
@@ -188,7 +188,7 @@ def with_run(tasks: DataFrame, runs: DataFrame, span: Span, job: str) -> DataFra
     """Task rows of one job's known runs with the run's date, balanced when one run has most tasks."""
     dated = runs_of(runs, job, span).select("dag_id", "run_id", "execution_date")
     keys, tasks = ["dag_id", "run_id"], of_job(tasks, job)
-    return lookup(tasks, dated, keys, ["task_id", "try_number", "start_date"], hot_keys(tasks, keys)).where("execution_date is not null")
+    return lookup(tasks, dated, keys).where("execution_date is not null")
 
 
 def latest_run_tasks(tasks: DataFrame, runs: DataFrame, job: str = PIPELINE) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerloom import specs
 from ledgerloom.functions import parsing as P
 from ledgerloom.functions import text as X
-from ledgerloom.operators.joins import hot_keys, lookup
+from ledgerloom.operators.joins import lookup
 from ledgerloom.operators.versions import first_per_key
 from ledgerloom.specs import ENTITIES, EntitySpec
 
@@ -164,23 +164,17 @@ def typed_order_items(current: DataFrame) -> DataFrame:
     ).where("order_item_id is not null")
 
 
-def hot_references(current: DataFrame, column: str) -> DataFrame:
-    """Hot values of a reference column, counted from that one column of the current rows."""
-    return hot_keys(current.select(P.digits_to_bigint(X.text_clean(F.col(column))).alias(column)), [column])
-
-
-def with_known(child: DataFrame, parent: DataFrame, key: str, row_id: list[str], hot: DataFrame) -> DataFrame:
+def with_known(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     """Add ``_known_<key>``: the key itself where the parent has it, else NULL."""
     keys = parent.select(key, F.col(key).alias(f"_known_{key}"))
-    return lookup(child, keys, [key], row_id, hot)
+    return lookup(child, keys, [key])
 
 
 def silver_orders(current: DataFrame, customers: DataFrame, promotions: DataFrame) -> DataFrame:
     """Orders of known customers; a promotion survives only if it is known."""
-    orders, row = typed_orders(current), ["order_id", SIGNATURE]
-    bought = with_known(orders, customers, "customer_id", row, hot_references(current, "customer_id"))
+    bought = with_known(typed_orders(current), customers, "customer_id")
     bought = bought.where("_known_customer_id is not null").drop("_known_customer_id")
-    linked = with_known(bought, promotions, "promotion_id", row, hot_references(current, "promotion_id"))
+    linked = with_known(bought, promotions, "promotion_id")
     c = F.col
     found = c("_known_promotion_id")
     clean = linked.select(
@@ -204,10 +198,9 @@ def line_total(quantity: Column, unit_price: Column) -> Column:
 
 def silver_order_items(current: DataFrame, orders: DataFrame, promotions: DataFrame) -> DataFrame:
     """Items of surviving orders; revenue only from valid quantity and price."""
-    items, row = typed_order_items(current), ["order_item_id", SIGNATURE]
-    placed = with_known(items, orders, "order_id", row, hot_references(current, "order_id"))
+    placed = with_known(typed_order_items(current), orders, "order_id")
     placed = placed.where("_known_order_id is not null").drop("_known_order_id")
-    linked = with_known(placed, promotions, "promotion_id", row, hot_references(current, "promotion_id"))
+    linked = with_known(placed, promotions, "promotion_id")
     c = F.col
     found = c("_known_promotion_id")
     clean = linked.select(

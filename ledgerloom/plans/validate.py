@@ -12,7 +12,7 @@ from ledgerloom import specs
 from ledgerloom.functions.keys import source_record_hash
 from ledgerloom.functions.parsing import lacks_offset, parse_utc_timestamp, parse_whole_date
 from ledgerloom.functions.text import strip_all
-from ledgerloom.operators.joins import hot_keys, lookup
+from ledgerloom.operators.joins import lookup
 from ledgerloom.operators.versions import available_keys
 from ledgerloom.plans.quality import union_all
 from ledgerloom.specs import ENTITIES, EntitySpec
@@ -76,8 +76,7 @@ def duplicate_versions(batch: DataFrame, spec: EntitySpec) -> DataFrame:
 def without_parent(rows: DataFrame, parents: DataFrame) -> DataFrame:
     """Rows whose ``business_key`` is not in ``parents``; every one of them, however many share a key."""
     found = parents.select("business_key", F.lit(True).alias("_found"))
-    hot = hot_keys(rows, ["business_key"])
-    return lookup(rows, found, ["business_key"], ["_key", "source_row_number"], hot).where("_found is null")
+    return lookup(rows, found, ["business_key"]).where("_found is null")
 
 
 def missing_keys(batch: DataFrame, known: DataFrame, spec: EntitySpec) -> DataFrame:

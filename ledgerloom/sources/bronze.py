@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from ledgerloom.functions.keys import source_record_hash
 from ledgerloom.functions.parsing import parse_day, parse_utc_timestamp, parse_whole_date, to_stored_type
-from ledgerloom.operators.joins import hot_keys, lookup
+from ledgerloom.operators.joins import lookup
 from ledgerloom.operators.versions import first_per_key
 from ledgerloom.specs import OPERATIONS, EntitySpec
 
@@ -90,7 +90,7 @@ def business_date(feed: DataFrame, spec: EntitySpec, orders: DataFrame | None =
     """
     dated = feed
     if not spec.date_column:
-        dated = lookup(feed, orders, ["order_id"], ["source_row_number"], hot_keys(feed, ["order_id"]))
+        dated = lookup(feed, orders, ["order_id"])
     own = parse_day(F.col(spec.date_column or "order_date"))
     derived = F.when(own <= F.col("logical_date"), own).otherwise(F.col("logical_date"))
     return dated.withColumn("derived_business_date", derived)

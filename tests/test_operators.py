@@ -107,33 +107,37 @@ def skewed(spark):
     return spark.range(6000).select("id", key.cast("bigint").alias("k"))
 
 
-def test_lookup_equals_a_plain_left_join(spark, skewed):
-    parent = spark.range(0, 400).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
-    hot = joins.hot_keys(skewed, ["k"], rows_per_slice=100)
-    assert [(r.k, r._slices) for r in hot.collect()] == [(7, 21)]
-    got = joins.lookup(skewed, parent, ["k"], ["id"], hot)
-    plain = skewed.join(parent, "k", "left")
-    assert sorted(got.select("id", "k", "v").collect(), key=str) == sorted(plain.select("id", "k", "v").collect(), key=str)
-
-
-def test_lookup_spreads_the_hot_key_and_nulls(spark, skewed):
-    hot = joins.hot_keys(skewed, ["k"], rows_per_slice=100)
-    parent = spark.range(0, 400).select(F.col("id").alias("k"), F.lit(1).alias("v"))
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+def test_lookup_splits_the_hot_key_and_nulls(spark, skewed, tmp_path):
+    """Adaptive execution deals the crowded partitions to several tasks, and no row is lost or repeated."""
+    spark.range(0, 400).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v")).write.parquet(str(tmp_path / "parent"))
+    skewed.withColumn("pad", F.sha2(F.col("id").cast("string"), 512)).repartition(8).write.parquet(str(tmp_path / "child"))
+    child, parent = (spark.read.parquet(str(tmp_path / n)) for n in ("child", "parent"))
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.shuffle.partitions": "8", "spark.sql.files.maxPartitionBytes": "64k", "spark.sql.files.openCostInBytes": "1k",
+    }
+    before = {k: spark.conf.get(k, None) for k in small}
     try:
-        joined = joins.lookup(skewed, parent, ["k"], ["id"], hot).withColumn("p", F.spark_partition_id())
-        sizes = [r["count"] for r in joined.groupBy("p").count().collect()]
+        for key, value in small.items():
+            spark.conf.set(key, value)
+        joined = joins.lookup(child, parent, ["k"])
+        joined.withColumn("p", F.spark_partition_id()).write.parquet(str(tmp_path / "joined"))
     finally:
-        spark.conf.unset("spark.sql.adaptive.enabled")
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert len(sizes) == 4 and max(sizes) < 2 * 6000 / 4
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    rows = spark.read.parquet(str(tmp_path / "joined")).collect()
+    assert sorted((r.id, r.k, r.v) for r in rows if r.k is not None) == sorted(
+        (k, key, 2 * key if key < 400 else None) for k in range(6000) if (key := 7 if k % 3 == 0 else k % 500) is not None and k % 3 != 1)
+    assert sum(r.k is None and r.v is None for r in rows) == 2000 and len(rows) == 6000
+    for value in (7, None):
+        assert len({r.p for r in rows if r.k == value}) >= 3
 
 
 def test_lookup_on_two_keys(spark):
     child = spark.createDataFrame([(1, "a", 10), (1, None, 11), (2, "b", 12)], "x int, y string, id int")
     parent = spark.createDataFrame([(1, "a", 5), (2, "c", 6)], "x int, y string, v int")
-    got = joins.lookup(child, parent, ["x", "y"], ["id"], joins.hot_keys(child, ["x", "y"]))
+    got = joins.lookup(child, parent, ["x", "y"])
     assert {(r.id, r.v) for r in got.collect()} == {(10, 5), (11, None), (12, None)}
 
 
