@@ -258,8 +258,13 @@ def column_nulls(e: str, s) -> str:
                   for c in s.csv_columns])
 
 
-def duplicates(e: str, columns: list[str]) -> str:
-    return f"SELECT coalesce(sum(n - 1), 0)::BIGINT FROM (SELECT count(*) AS n FROM update_{e} GROUP BY {', '.join(columns)})"
+def duplicates(e: str, rows: str) -> str:
+    return f"SELECT coalesce(sum(n - 1), 0)::BIGINT FROM (SELECT count(*) AS n FROM {rows} GROUP BY {', '.join(ENTITIES[e].csv_columns)})"
+
+
+def doubled(e: str) -> str:
+    again = " UNION ALL ".join(f"SELECT * FROM update_{e} WHERE ends_with({ENTITIES[e].key}, '{end}')" for end in ("7", "77"))
+    return f"(SELECT * FROM update_{e} UNION ALL {again})"
 
 
 def number(x: str) -> str:
@@ -280,12 +285,11 @@ def column_types(e: str, s) -> str:
 
 oracle("profile_nulls", per_entity(column_nulls), *UPDATES)
 oracle("profile_duplicates", per_entity(lambda e, s: f"""SELECT '{e}' AS table_name,
-  ({duplicates(e, [c for c in s.columns if c != s.key])}) AS duplicate_row_count"""), *UPDATES)
+  ({duplicates(e, doubled(e))}) AS duplicate_row_count"""), *UPDATES)
 oracle("profile_types", per_entity(column_types), *UPDATES)
-oracle("profile_sink", f"""SELECT t.table_name, t.column_name, t.column_type, n.null_count,
-  (SELECT count(*) FROM update_promotions) AS row_count, ({duplicates('promotions', ENTITIES['promotions'].csv_columns)}) AS duplicate_row_count
-FROM ({column_types('promotions', ENTITIES['promotions'])}) t JOIN ({column_nulls('promotions', ENTITIES['promotions'])}) n
-USING (table_name, column_name)""", "update_promotions")
+oracle("profile_sink", per_entity(lambda e, s: f"""SELECT t.table_name, t.column_name, t.column_type, n.null_count,
+  (SELECT count(*) FROM update_{e}) AS row_count, ({duplicates(e, f'update_{e}')}) AS duplicate_row_count
+FROM ({column_types(e, s)}) t JOIN ({column_nulls(e, s)}) n USING (table_name, column_name)"""), *UPDATES)
 oracle("profile_sample", per_entity(lambda e, s: f"""(SELECT '{e}' AS table_name, source_row_number, {joined(s)} AS row_text FROM update_{e}
 ORDER BY source_row_number, {', '.join(s.csv_columns)} LIMIT 5)"""), *UPDATES)
 

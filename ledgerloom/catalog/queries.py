@@ -168,9 +168,9 @@ def convert_types(w: Warehouse) -> DataFrame:
 
 @query("profile_sink")
 def profile_sink(w: Warehouse) -> DataFrame:
-    """A column profile written as JSON and read back."""
-    spec, path = ENTITIES["promotions"], f"{fresh_dir(w.spark, 'profile')}/profile"
-    reports.write_profile(profiling.batch_profile(update_batch(w, "promotions"), spec), path)
+    """The column profiles of a whole batch written as JSON and read back."""
+    path = f"{fresh_dir(w.spark, 'profile')}/profile"
+    reports.write_profile(each(lambda n, s: profiling.batch_profile(update_batch(w, n), s)), path)
     schema = "table_name string, column_name string, column_type string, null_count bigint, row_count bigint, duplicate_row_count bigint"
     return w.spark.read.schema(schema).json(path)
 
@@ -500,8 +500,18 @@ simple("batch_metrics", lambda w: each(lambda n, s: bronze.batch_metrics(w.bronz
 
 simple("profile_rows", lambda w: each(lambda n, s: profiling.row_counts(update_batch(w, n), n)))
 simple("profile_nulls", lambda w: each(lambda n, s: profiling.null_counts(update_batch(w, n), n, s.csv_columns)))
-simple("profile_duplicates", lambda w: each(lambda n, s: profiling.duplicate_rows(
-    update_batch(w, n), n, [x for x in s.columns if x != s.key])))
+
+
+@query("profile_duplicates")
+def profile_duplicates(w: Warehouse) -> DataFrame:
+    """Identical rows over all columns, in batches where rows with keys ending in 7 came twice and in 77 thrice."""
+    def doubled(name: str, spec) -> DataFrame:
+        rows = update_batch(w, name)
+        again = [rows.where(F.col(spec.key).endswith(end)) for end in ("7", "77")]
+        return profiling.duplicate_rows(union_all([rows, *again]), name, spec.csv_columns)
+    return each(doubled)
+
+
 simple("profile_types", lambda w: each(lambda n, s: profiling.inferred_types(update_batch(w, n), n, s.csv_columns)))
 simple("profile_sample", lambda w: each(lambda n, s: profiling.sample_rows(update_batch(w, n), s.csv_columns).select(
     F.lit(n).alias("table_name"), "source_row_number", joined_row(s))))

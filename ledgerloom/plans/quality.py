@@ -36,16 +36,10 @@ def unpivot_counts(df: DataFrame, table: str, checks: list[Check]) -> DataFrame:
 def duplicate_keys(current: DataFrame, spec: EntitySpec) -> DataFrame:
     """Rows beyond the first of each clean key, as one total.
 
-    Raw keys are unique among newest versions, so clean keys can only repeat through raw
-    keys that cleaning changes. Those few are counted, and the unchanged keys that meet them;
-    the rest of the table is never shuffled by key.
+    One scan of the key column: keys are counted per task before they are shuffled.
     """
-    raw, clean = F.col(spec.key), X.text_clean(F.col(spec.key))
-    changed = current.where(clean.isNotNull() & (raw != clean)).groupBy(clean.alias("key")).agg(F.count("*").alias("n"))
-    met = current.where(raw == clean).select(raw.alias("key")).join(changed, "key", "left_semi")
-    repeats = changed.select((F.col("n") - 1).alias("n_records"))
-    both = repeats.unionByName(met.select(F.lit(1).cast("bigint").alias("n_records")))
-    return both.agg(F.coalesce(F.sum("n_records"), F.lit(0).cast("bigint")).alias("n_records"))
+    counted = current.select(X.text_clean(F.col(spec.key)).alias("key")).where("key is not null").groupBy("key").count()
+    return counted.agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0).cast("bigint")).alias("n_records"))
 
 
 def negative_or_bad(c: Column) -> Column:
