@@ -168,6 +168,8 @@ class Pipeline:
             validate.require_valid(self._errors(staged, attempt, F.lit(logical_date)))
             metrics = self._append(staged, checksums, logical_date, identifier, attempt, now)
             self.control.publish(metrics)
+            # What was staged is in the raw layer now; a refused attempt keeps its rows and errors.
+            self.store.files.remove(self.store.path("staging", attempt))
         except Exception as error:
             self.control.fail(identifier, str(error), now)
             raise

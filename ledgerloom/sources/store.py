@@ -59,16 +59,6 @@ class Files:
         found = [s.getPath() for s in fs.listStatus(target) if s.isFile()]
         return sorted(p.toString() for p in found if p.getName()[0] not in "_.")
 
-    def first_line(self, path: str) -> str | None:
-        """A text file's first line; only its first block is opened."""
-        target, fs = self._at(path)
-        java = self._sc._jvm.java.io
-        reader = java.BufferedReader(java.InputStreamReader(fs.open(target), "UTF-8"))
-        try:
-            return reader.readLine()
-        finally:
-            reader.close()
-
     def read_text(self, path: str) -> str:
         target, fs = self._at(path)
         stream = fs.open(target)
@@ -97,6 +87,11 @@ class Files:
             raise OSError(f"cannot move {source} to {target}")
 
 
+    def remove(self, path: str) -> None:
+        target, fs = self._at(path)
+        fs.delete(target, True)
+
+
 def layer_path(root: str, layer: str) -> str:
     """A layer's name is its directory, without any prefix."""
     return f"{root}/{layer.strip()}"
@@ -118,13 +113,21 @@ class TableStore:
         return self.files.exists(f"{self.path(layer, name)}/{POINTER}")
 
     def write(self, df: DataFrame, layer: str, name: str, partition_by: list[str] | None = None) -> None:
-        """Write a new version, then swap the pointer; a failed write leaves the old version current."""
-        version = f"v-{uuid.uuid4().hex}"
+        """Write a new version, then swap the pointer; a failed write leaves the old version current.
+
+        The version before stays for readers that began with it; older ones and remains of failed writes go.
+        The swap needs a file system whose rename is atomic; an object store without one is no place for a root.
+        """
+        version, base = f"v-{uuid.uuid4().hex}", self.path(layer, name)
+        before = self.files.read_text(f"{base}/{POINTER}").strip() if self.exists(layer, name) else None
         writer = df.write.mode("errorifexists")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(f"{self.path(layer, name)}/{version}")
         self.files.replace_text(f"{self.path(layer, name)}/{POINTER}", version)
+        for old in self.files.names(base):
+            if old.startswith("v-") and old not in (version, before):
+                self.files.remove(f"{base}/{old}")
         self._schemas[f"{layer}/{name}"] = df.schema
 
     def read(self, layer: str, name: str, schema: T.StructType | None = None) -> DataFrame:

@@ -157,7 +157,6 @@ def test_files_helper_lists_and_replaces(spark, tmp_path):
     assert files.names(str(tmp_path / "d")) == ["p"] or files.names(str(tmp_path / "d"))[-1] == "p"
     assert files.names(str(tmp_path / "none")) == [] == files.data_files(str(tmp_path / "none"))
     assert [f.rsplit("/", 1)[1] for f in files.data_files(str(tmp_path / "d"))] == ["p"]
-    assert files.first_line(str(tmp_path / "d" / "p")) == "two"
 
 
 def test_profile_of_a_small_batch(spark, tmp_path):
@@ -196,3 +195,13 @@ def test_recorded_rows_read_as_expected(spark):
     got = {r.order_id: r for r in silver.silver_orders(current, customers, promotions).collect()}
     assert str(got[4364].order_value) == "132.41" and str(got[4364].order_date) == "2025-06-03 00:00:00"
     assert got[15045].missing_promotion_flag and not got[15045].promo_attributed_without_promotion_id_flag
+
+
+def test_superseded_versions_go_and_the_last_one_stays(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    frames = []
+    for n in range(4):
+        store.write(spark.range(n + 1), "silver", "numbers")
+        frames.append(store.read("silver", "numbers"))
+    assert len([p for p in (tmp_path / "silver" / "numbers").iterdir() if p.name.startswith("v-")]) == 2
+    assert [f.count() for f in frames[2:]] == [3, 4]
