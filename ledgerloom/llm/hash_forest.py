@@ -38,8 +38,8 @@ class Settings:
     bits: int = 32
     shard_rows: int = 16384
     query_rows: int = 32768
-    recall: float = 0.95
-    audits: int = 64
+    recall: float = 0.98
+    audits: int = 96
     seed: int = 11
 
 
