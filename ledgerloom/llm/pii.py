@@ -27,20 +27,31 @@ from ledgerloom.llm.tables import Scratch, is_empty, prepare
 # What is searched for. Titles tell a gender; the order of kinds settles ties.
 TITLES = {"m": "Mr|Herr|Señor|Sr|Monsieur|Господин", "f": "Mrs|Ms|Miss|Frau|Señora|Sra|Madame|Mme|Госпожа", "any": "Dr|Prof"}
 OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
-NAME_WORD = r"\p{Lu}[\p{L}'\-]{1,30}"
+GROUP = "[0-9A-Fa-f]{1,4}"
+#: Written out or shortened, the last two groups perhaps as an IPv4 address; not a part of a longer run of groups.
+IP6 = (
+    rf"(?<![0-9A-Za-z])(?<!(?<![0-9A-Za-z])[0-9A-Fa-f]{{1,4}}:)(?=[0-9A-Fa-f]{{0,4}}:[0-9A-Fa-f:])(?:(?:{GROUP}:){{6}}(?:{OCTET}\.){{3}}{OCTET}|(?:{GROUP}:){{7}}{GROUP}"
+    rf"|(?:{GROUP}(?::{GROUP}){{0,5}})?::(?:{GROUP}:){{0,5}}(?:{OCTET}\.){{3}}{OCTET}|(?:{GROUP}(?::{GROUP}){{0,6}})?::{GROUP}(?::{GROUP}){{0,6}}|{GROUP}(?::{GROUP}){{0,6}}::)"
+    r"(?![0-9A-Za-z]|:[0-9A-Fa-f:]|\.[0-9])"
+)
+NAME_WORD = r"\p{Lu}(?:[\p{L}\p{M}'\-]|’(?=\p{Lu}))++"
+#: Small words inside a name; they stay as they are.
+PARTICLES = "van|von|der|den|de|del|della|di|da|dos|das|do|du|la|le|los|las|y|e|zu|zum|zur|ter|ten|bin|ibn|al|el|af|av"
+NAMED = rf"(?:(?:{PARTICLES}) ){{0,3}}{NAME_WORD}"
 ASSIGNED = r"(?i:api[_\-]?key|access[_\-]?key|auth[_\-]?token|token|secret|password|passwd)\s{0,3}[=:]\s{0,3}[\"']?"
 PATTERNS = {
-    "ip": rf"(?<![0-9.])(?:{OCTET}\.){{3}}{OCTET}(?![0-9]|\.[0-9])",
+    "ip": rf"(?:(?<![0-9.])(?:{OCTET}\.){{3}}{OCTET}(?![0-9]|\.[0-9])|{IP6})",
     "ssn": r"(?<![0-9\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9\-])",
     "card": r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[ \-][0-9]{4}){2,3}(?:[ \-][0-9]{1,3})?)(?![0-9])",
-    "phone": r"(?<![0-9+])(?:\+[0-9]{1,3}[ .\-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .\-]?[0-9]{2,4}){2,4}|\([0-9]{3}\) ?[0-9]{3}[.\-][0-9]{4}|[0-9]{3}[.\-][0-9]{3}[.\-][0-9]{4})(?![0-9])",
+    "phone": r"(?<![0-9+])(?:\+[0-9]{1,3}[ .\-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .\-]?[0-9]{2,4}){2,4}|\([0-9]{3}\)[ .\-]?[0-9]{3}[ .\-][0-9]{4}|[0-9]{3}[.\-][0-9]{3}[.\-][0-9]{4})(?![0-9])",
     "iban": r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
-    "secret": rf"\b{ASSIGNED}[A-Za-z0-9_\-+/.]{{8,512}}",
-    "name": rf"\b(?:{'|'.join(TITLES.values())})\.? {NAME_WORD}(?: {NAME_WORD}){{0,2}}",
+    "secret": rf"\b{ASSIGNED}[A-Za-z0-9_\-+/.]{{8,}}+",
+    "name": rf"\b(?:{'|'.join(TITLES.values())})\.? {NAMED}(?: {NAMED})*+",
     "email": r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]{1,64}+@(?:[A-Za-z0-9\-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])",
 }
 #: One look at the first character spares most places the longer expressions.
 FOUND = "(?:" + "|".join([
+    f"(?=[0-9A-Fa-f:]){IP6}",
     f"(?=[0-9+(])(?:{'|'.join(PATTERNS[k] for k in ('ip', 'ssn', 'card', 'phone'))})", f"(?=[A-Z][A-Z][0-9]){PATTERNS['iban']}",
     f"(?=[AaTtSsPp]){PATTERNS['secret']}", f"(?=[MHSDPFГ]){PATTERNS['name']}", PATTERNS["email"],
 ]) + ")"
@@ -69,17 +80,37 @@ def secret_of(found: Column) -> Column:
     return F.regexp_extract(found, f"^{ASSIGNED}(.*)$", 1)
 
 
+def words_of(found: Column) -> Column:
+    """The words of a name after its title."""
+    return F.split(F.regexp_extract(found, "^[^ ]+ (.*)$", 1), " ")
+
+
+def is_particle(word: Column) -> Column:
+    return word.rlike(f"^(?:{PARTICLES})$")
+
+
+def full_ip6(found: Column) -> Column:
+    """All groups in lower case without leading zeros; an IPv4 address at the end stays one."""
+    def groups(part):
+        return F.filter(F.split(F.lower(part), ":"), lambda g: g != "")
+
+    before, after = groups(F.substring_index(found, "::", 1)), groups(F.substring_index(found, "::", -1))
+    left_out = F.greatest(F.lit(8) - F.size(before) - F.size(after) - F.when(found.contains("."), 1).otherwise(0), F.lit(0))
+    every = F.when(found.contains("::"), F.concat(before, F.array_repeat(F.lit("0"), left_out), after)).otherwise(before)
+    return F.array_join(F.transform(every, lambda g: F.regexp_replace(g, "^0+(?=[0-9a-f])", "")), ":")
+
+
 def units_of(kind: Column, found: Column) -> Column:
     """The units of a find, each with kind and canonical value; ``found`` is text in the corpus."""
     def unit(kind, value):
         return F.struct(kind.alias("kind"), value.alias("value"))
 
-    titled = F.split(F.regexp_extract(found, "^[^ ]+ (.*)$", 1), " ")
+    titled = F.filter(words_of(found), lambda w: ~is_particle(w))
     given = F.when(found.rlike(f"^(?:{TITLES['f']})[. ]"), F.lit("given_f")).otherwise(F.lit("given_m"))
     named = F.transform(titled, lambda w, i: unit(F.when(i == F.size(titled) - 1, F.lit("surname")).otherwise(given), F.lower(w)))
     secret = secret_of(found)
     value = (
-        F.when(kind == "ip", found).when(kind == "email", F.lower(found))
+        F.when(kind == "ip", F.when(found.contains(":"), full_ip6(found)).otherwise(found)).when(kind == "email", F.lower(found))
         .when(kind == "secret", F.when(secret == F.upper(secret), F.lower(secret)).otherwise(secret))
         .when(kind == "iban", F.replace(found, F.lit(" "), F.lit(""))).otherwise(F.regexp_replace(found, "[^0-9]", ""))
     )
@@ -109,21 +140,25 @@ def drawn(kind: Column, value: Column, attempt: Column, key: str) -> Column:
 
     def letters(text, first, hexadecimal=False):
         """``text`` with every letter and digit drawn anew in its class; places count from ``first``."""
-        def one(place):
-            old = F.substr(text, place - first + 1, F.lit(1))
+        def one(old, i):
+            place = i + first
             letter = pick(ALPHABET, place)
             if hexadecimal:
                 return pick(HEX, place)
             return (F.when(old.rlike("[0-9]"), number(place, 10).cast("string")).when(old.rlike("[a-z]"), letter)
                     .when(old.rlike("[A-Z]"), F.upper(letter)).otherwise(old))
 
-        places = F.sequence(F.lit(first), F.length(text) + (first - 1))
-        return F.when(F.length(text) == 0, F.lit("")).otherwise(F.array_join(F.transform(places, one), ""))
+        # Split once: a substring for every place would walk a long secret again and again.
+        return F.when(F.length(text) == 0, F.lit("")).otherwise(F.array_join(F.transform(F.split(text, ""), one), ""))
 
     # Mail goes to a reserved domain; the labels before the last one are drawn like the mailbox.
     mailbox, host = F.substring_index(value, "@", 1), F.regexp_replace(F.substring_index(value, "@", -1), r"\.[a-z]+$", "")
     email = F.concat(letters(mailbox, 1), F.lit("@"), letters(host, 1001), F.lit(".example"))
     ip = F.concat_ws(".", *[(number(F.lit(k), 254) + 1).cast("string") for k in range(4)])
+    # Addresses of eight groups go to the range reserved for documentation.
+    digits = F.sha2(F.concat_ws("/", seed, F.lit("groups")), 256)
+    ip6 = F.concat_ws(":", F.lit("2001:db8"), *[F.substr(digits, F.lit(4 * k + 1), F.lit(4)) for k in range(6)])
+    ip = F.when(value.contains(":"), ip6).otherwise(ip)
     tail = F.concat(F.substr(value, F.lit(1), F.lit(1)), letters(F.substr(value, F.lit(2)), 2))
     # The last digit makes the surrogate as valid, or as invalid, as the original.
     body = F.substr(tail, F.lit(1), F.length(value) - 1)
@@ -168,9 +203,12 @@ def shown(kind: Column, found: Column, made: Column) -> Column:
     shouted = found.rlike(rf" \p{{Lu}}{{2}}[^\p{{Ll}}]*$")
     names = F.transform(made, lambda w: F.when(shouted, F.upper(w)).otherwise(F.initcap(F.replace(w, F.lit("-"), F.lit(" ")))))
     names = F.transform(names, lambda w: F.replace(w, F.lit(" "), F.lit("-")))
+    words = words_of(found)
+    placed = F.transform(words, lambda w, i: F.when(is_particle(w), w).otherwise(
+        F.get(names, F.size(F.filter(F.slice(words, 1, i + 1), lambda v: ~is_particle(v))) - 1)))
     secret = secret_of(found)
     return (
-        F.when(kind == "name", F.concat(F.regexp_extract(found, "^([^ ]+ )", 1), F.array_join(names, " ")))
+        F.when(kind == "name", F.concat(F.regexp_extract(found, "^([^ ]+ )", 1), F.array_join(placed, " ")))
         .when(kind == "secret", F.concat(F.regexp_extract(found, f"^{ASSIGNED}", 0), cased(secret)))
         .when(kind == "email", cased(found)).when(kind == "ip", one).when(kind == "iban", filled("0-9A-Z")).otherwise(filled("0-9"))
     )
