@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, hash_forest, hnsw, mixing, pii, simhash, sql, substring, toxicity, url_filter, warc
+from ledgerloom.llm import bpe, hash_forest, hnsw, mixing, pii, prefix_trie, simhash, sql, substring, toxicity, url_filter, warc
 from ledgerloom.llm.tables import sha256_hex, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +92,9 @@ def op9_hash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's fingerprint and near-duplicate component."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of all rebuilt conversations."""
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))

@@ -81,5 +81,46 @@ SELECT page_id, host, path, rule,
             WHEN free IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict,
        CASE WHEN rule IS NULL THEN free END AS pattern
 FROM listed
+""",
+    "op13_prefix_trie": r"""
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT DISTINCT conv_id, conv_id - conv_id % 5 AS first,
+         xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(range(1, length(conv_id::VARCHAR) + 1), lambda i: ord(substr(conv_id::VARCHAR, i::INTEGER, 1))::UBIGINT)),
+           lambda crc, b: list_reduce(list_prepend(xor(crc, b), range(8)::UBIGINT[]), lambda x, k: xor(x >> 1, (x & 1) * 3988292384::UBIGINT))),
+           4294967295::UBIGINT) % 9 AS h
+  FROM turns
+), rebuilt AS (
+  SELECT c.conv_id, row_number() OVER (PARTITION BY c.conv_id ORDER BY part, place) AS d, role, text
+  FROM (SELECT c.conv_id, 0 AS part, place, role, text FROM convs c JOIN turns t ON t.conv_id = c.first AND t.place <= c.h
+        UNION ALL
+        SELECT c.conv_id, 1, place, role, text FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.place > c.h) c
+), steps AS (
+  SELECT conv_id, d, strlen(text) AS bytes,
+         sha256(string_agg(sha256(strlen(role) || ':' || role || text), '' ORDER BY d) OVER (PARTITION BY conv_id ORDER BY d)) AS node
+  FROM rebuilt
+), members AS (
+  SELECT conv_id, 0 AS d, 0 AS bytes, '' AS node FROM convs
+  UNION ALL SELECT conv_id, d, bytes, node FROM steps
+), placed AS (
+  SELECT *, lag(node) OVER (PARTITION BY conv_id ORDER BY d) AS parent, d = max(d) OVER (PARTITION BY conv_id) AS ends FROM members
+), nodes AS (
+  SELECT node, any_value(parent) AS parent, any_value(d) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(bytes) AS bytes,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+  FROM placed GROUP BY node
+), family AS (
+  SELECT parent AS node, count(*) AS n_children FROM nodes WHERE parent IS NOT NULL GROUP BY parent
+), within AS (
+  SELECT DISTINCT a.node, b.node AS below FROM placed a JOIN placed b ON a.conv_id = b.conv_id AND b.d >= a.d
+), sums AS (
+  SELECT w.node, count(*) FILTER (WHERE f.node IS NULL) AS n_leaves, sum((n.n_convs - 1) * n.bytes)::BIGINT AS saved_tokens
+  FROM within w JOIN nodes n ON n.node = w.below LEFT JOIN family f ON f.node = w.below GROUP BY w.node
+)
+SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(f.n_children, 0) AS n_children,
+       s.n_leaves, s.saved_tokens, n.ends_sha256
+FROM nodes n JOIN sums s ON s.node = n.node LEFT JOIN family f ON f.node = n.node LEFT JOIN nodes p ON p.node = n.parent
 """,
 }
