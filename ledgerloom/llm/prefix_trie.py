@@ -38,7 +38,7 @@ WIDTH = 16  # bytes of a turn in a path
 SHARD = 100_000  # nodes after which a shard is closed
 LEAST = 32  # paths that a shard holds at least, so that rounds shrink what is left
 PIECE = 1 << 18  # bytes of joined ids that are held at once
-TRIES = 64  # free places looked at before children are put behind all others
+TRIES = 64  # free places looked at before children are put behind all that are taken
 NONE = np.iinfo(np.int64).max
 EMPTY = hashlib.sha256(b"").hexdigest()
 #: Per place of a path, root first: what its node owns besides the nodes on shared paths.
@@ -87,7 +87,7 @@ class DoubleArray:
         room = len(turns) + len(dense) + 2
         self.base, self.check = np.zeros(room, np.int64), np.full(room, -1, np.int64)
         self.taken = bytearray(room)
-        self.check[0], self.taken[0], self.free = 0, 1, 1
+        self.check[0], self.taken[0], self.free, self.top = 0, 1, 1, 1
         self.pack()
 
     def grow(self, need: int) -> None:
@@ -109,9 +109,8 @@ class DoubleArray:
             if not any(self.taken[at + i - first] for i in ids[1:]):
                 return at - first
             at += 1
-        end = len(self.taken)
-        self.grow(end + span)
-        return end - first
+        self.grow(self.top + span)
+        return self.top - first
 
     def pack(self) -> None:
         """Level by level: the children of every node that has some get one base."""
@@ -129,6 +128,7 @@ class DoubleArray:
                 self.base[parents[a]] = base
                 for i in ids:
                     self.taken[base + i] = 1
+                self.top = max(self.top, base + ids[-1] + 1)
                 self.check[np.asarray(ids) + base] = parents[a]
                 self.free = self.taken.find(0, self.free)
                 if self.free < 0:
