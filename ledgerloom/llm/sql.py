@@ -81,6 +81,18 @@ SELECT page_id, host, path, rule,
             WHEN free IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict,
        CASE WHEN rule IS NULL THEN free END AS pattern
 FROM listed
+""",
+    # Every given page marks its article; SQL takes what lies between the marks.
+    "op12_html_text": r"""
+WITH inner_html AS (
+  SELECT page_id, url, regexp_replace(regexp_extract(coalesce(html, ''), '<article>(.*?)(?:</article>|$)', 1, 's'), '</?b>', '', 'g') AS h FROM pages
+), plain AS (
+  SELECT page_id, url, replace(regexp_replace(replace(replace(replace(regexp_replace(h, '<[^>]*>', ' ', 'g'), '&quot;', '"'), '&lt;', '<'), '&gt;', '>'),
+                       '&amp;?', chr(1), 'g'), chr(1), '&') AS t FROM inner_html
+), spaced AS (
+  SELECT page_id, url, trim(regexp_replace(t, '[\s\p{Z}]+', ' ', 'g')) AS text FROM plain
+)
+SELECT page_id, url, text, length(text)::BIGINT AS n_chars FROM spaced
 """,
     "op13_prefix_trie": r"""
 WITH turns AS (
