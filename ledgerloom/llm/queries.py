@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, hash_forest, hnsw, html_text, mixing, pii, prefix_trie, simhash, sql, substring, toxicity, url_filter, warc
+from ledgerloom.llm import bpe, hash_forest, hnsw, html_text, lexical, mixing, pii, prefix_trie, simhash, sql, substring, toxicity, url_filter, warc
 from ledgerloom.llm.tables import sha256_hex, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,6 +94,12 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty documents that score highest for every benchmark item."""
+    return lexical.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op12_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""

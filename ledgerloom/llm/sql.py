@@ -81,6 +81,31 @@ SELECT page_id, host, path, rule,
             WHEN free IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict,
        CASE WHEN rule IS NULL THEN free END AS pattern
 FROM listed
+""",
+    "op11_lexical_search": r"""
+WITH words AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents
+), asked AS (
+  SELECT item_id, term, count(*) AS times
+  FROM (SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark) GROUP BY ALL
+), tfs AS (
+  SELECT doc_id, term, count(*) AS tf FROM words GROUP BY ALL
+), lengths AS (
+  SELECT doc_id, sum(tf)::BIGINT AS n FROM tfs GROUP BY doc_id
+), totals AS (
+  SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM lengths
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM tfs, totals GROUP BY term
+), scored AS (
+  SELECT item_id, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * docs) // terms))))::BIGINT AS score
+  FROM asked JOIN tfs USING (term) JOIN weights USING (term) JOIN lengths USING (doc_id), totals GROUP BY item_id, doc_id
+)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM scored WHERE score > 0
+QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 20
 """,
     # Every given page marks its article; SQL takes what lies between the marks.
     "op12_html_text": r"""
