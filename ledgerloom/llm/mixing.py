@@ -91,7 +91,9 @@ def mix(docs: DataFrame, entropy: float | None = None, repeats: float | None = N
     spark = docs.sparkSession
     prepare(spark)
     scratch = Scratch(spark, "mix")
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("source").cast("string").alias("source"), F.col("n_tokens").cast("bigint").alias("n_tokens"))
+    # Ids are numbers, or texts where a caller names rows by more than a number.
+    name = F.col("doc_id") if dict(docs.dtypes)["doc_id"] == "string" else F.col("doc_id").cast("bigint")
+    rows = docs.select(name.alias("doc_id"), F.col("source").cast("string").alias("source"), F.col("n_tokens").cast("bigint").alias("n_tokens"))
     one = rows.where("doc_id is not null").groupBy("doc_id").agg(F.min(F.struct("source", "n_tokens")).alias("row"))
     rows = scratch.save(one.select("doc_id", "row.source", "row.n_tokens"), "documents")
     plan = scratch.save(mixture(rows, entropy, repeats, budget), "mixture")

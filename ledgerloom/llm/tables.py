@@ -53,11 +53,12 @@ class Scratch:
         df.write.mode("errorifexists").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def drop(self, name: str) -> None:
-        """Remove a table that nothing reads any more."""
+    def drop(self, *names: str) -> None:
+        """Remove tables that nothing reads any more."""
         gateway = self.spark.sparkContext
-        path = gateway._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-        path.getFileSystem(gateway._jsc.hadoopConfiguration()).delete(path, True)
+        for name in names:
+            path = gateway._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+            path.getFileSystem(gateway._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def is_empty(df: DataFrame) -> bool:
@@ -67,3 +68,14 @@ def is_empty(df: DataFrame) -> bool:
 def sha256_hex(c):
     """Lower-case hex SHA-256 of a binary or string column."""
     return F.sha2(c.cast("binary"), 256)
+
+
+def digest_of(text):
+    """A digest that tells the texts of rows apart where ids do not; null is as empty."""
+    return F.md5(F.coalesce(text.cast("string"), F.lit("")).cast("binary"))
+
+
+def spare_names(df: DataFrame, count: int) -> list[str]:
+    """Names that no column of the table has, in whatever case Spark compares them."""
+    taken = {c.lower() for c in df.columns}
+    return [name for name in (f"_{k}" for k in range(count + len(taken))) if name not in taken][:count]

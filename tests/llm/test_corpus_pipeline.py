@@ -13,9 +13,11 @@ import public_tokenizers
 import pytest
 import tiktoken
 from conftest import SMALL
-from test_simhash import plain_components, plain_print
+from pyspark.sql import functions as F
+from test_resemblance import plain_roots
 
 import corpus_pipeline
+from ledgerloom.llm import mixing
 from ledgerloom.llm.tables import Scratch, prepare, table
 
 
@@ -50,7 +52,7 @@ def test_only_toxic_documents_are_rejected(spark, stages):
 
 
 def test_one_document_of_each_component_stays(stages):
-    root = plain_components({r.doc_id: plain_print(r.text) for r in stages[1]})
+    root = plain_roots({r.doc_id: r.text for r in stages[1]})
     assert sorted(stages[2]) == sorted(r for r in stages[1] if root[r.doc_id] == r.doc_id)
     assert len(stages[2]) < len(stages[1])
 
@@ -122,5 +124,36 @@ def test_nulls_repeats_and_missing_ids_pass_every_stage(spark, tmp_path):
         spark.createDataFrame([(3, 0), (9, 1)], "doc_id bigint, toxic int").write.parquet(f"{root}/labels.parquet")
         result = corpus_pipeline.run(spark, str(root)).collect()
         assert all(r.restored for r in result)
-        # Texts without words form one component of zero prints; the long text exceeds its source's quota or stays whole.
-        assert {r.doc_id for r in result} <= {1, 3, 4} and bool(result) == bool(rows)
+        # Texts without words form one component, whose smallest document stays and passes the mix.
+        assert {r.doc_id for r in result} <= {None, 1, 3, 4} and bool(result) == bool(rows)
+
+
+CLASHES = ["component", "_component", "_node", "node", "_keys", "keys", "_times", "times", "_row", "_at", "_copy", "_0", "_1", "_2", "_3",
+           "n_entities", "entity_kinds", "_pii_raw", "toxic_score", "digest", "name", "n", "size"]
+
+
+@pytest.mark.parametrize("number", range(4))
+def test_columns_of_any_name_pass_every_stage(spark, documents, number):
+    rows = [(1, "mail me a.b@c.example.com now"), (2, "mail me a.b@c.example.com now"), (3, "some other words here " * 20), (4, None)]
+    docs = documents(rows).withColumns({c: F.concat(F.lit(c), F.col("doc_id").cast("string")) for c in CLASHES})
+    name, stage = corpus_pipeline.STAGES[number]
+    got = stage(spark, Scratch(spark, "test").save(docs, "docs"), SMALL)
+    assert got.columns == docs.columns
+    before = {r.doc_id: r for r in docs.collect()}
+    for r in got.collect():
+        assert all(r[c] == before[r.doc_id][c] for c in CLASHES)
+
+
+def test_mix_counts_rows_that_share_an_id_and_passes_rows_without_one(spark, documents):
+    short, long = "a b c", "w " * 500
+    rows = [(1, short, "en", "x"), (1, long, "en", "x"), (None, "no id here", "en", "x"), (None, "no id here", "en", "x"), (2, "", "en", "silent"), (3, None, "en", "silent"), (4, "alone", "en", None)]
+    docs = documents(rows)
+    counted = {}
+    got = corpus_pipeline.mix_sources(spark, docs, SMALL).collect()
+    for r in got:
+        counted[r.source] = counted.get(r.source, 0) + len((r.text or "").split())
+    assert [r.doc_id for r in got if r.source == "silent"] in ([2, 3], [3, 2])
+    total = sum(len((r[1] or "").split()) for r in rows)
+    weights = {r.source: r for r in mixing.mixture(mixing.counted(docs), repeats=corpus_pipeline.REPEATS).collect()}
+    assert sum(counted.values()) <= total and all(counted.get(s, 0) <= w.quota for s, w in weights.items())
+    assert any(r.doc_id is None for r in got) and any(r.source is None for r in got)
