@@ -32,7 +32,29 @@ def joined(spec) -> str:
 # --- sources and sinks ------------------------------------------------------------------
 
 oracle("read_feed", per_entity(lambda e, s: f"SELECT '{e}' AS entity, logical_date, {joined(s)} AS row_text FROM feed_{e}"), *FEEDS)
-oracle("header_check", per_entity(lambda e, s: f"SELECT DISTINCT '{e}' AS entity, true AS is_expected, logical_date FROM feed_{e}"), *FEEDS)
+oracle("header_check", per_entity(lambda e, s: f"""SELECT DISTINCT '{e}' AS entity, true AS is_expected, logical_date FROM feed_{e}
+UNION ALL SELECT '{e}', {str(e == 'order_items').lower()}, DATE '{feeds.DIRTY_DATE}'"""), *FEEDS)
+
+
+def csv_cell(x: str) -> str:
+    """A field as the landed files hold it."""
+    return f"""CASE WHEN regexp_matches({x}, '[,"\\r\\n]') THEN '"' || replace({x}, '"', '""') || '"' ELSE {x} END"""
+
+
+def checksum_sql(entity: str, spec) -> str:
+    """Lines of the header and of all rows in order, each hashed with its number; the sums of the quarters are hashed."""
+    row = "concat_ws(',', " + ", ".join(csv_cell(x) for x in spec.csv_columns) + ")"
+    quarters = ", ".join(f"(sum(('0x' || substr(h, {16 * k + 1}, 16))::UBIGINT)::HUGEINT)::VARCHAR AS q{k}" for k in range(4))
+    return f"""SELECT '{entity}' AS entity, sha256(concat_ws(':', q0, q1, q2, q3, n::VARCHAR, '0')) AS file_checksum, logical_date
+FROM (SELECT logical_date, count(*) AS n, {quarters} FROM (
+  SELECT logical_date, sha256(row_number() OVER (PARTITION BY logical_date ORDER BY place, hash, line_place)::VARCHAR || ':' || line) AS h FROM (
+    SELECT logical_date, source_row_number AS place, {record_hash(entity)} AS hash,
+      unnest(string_split({row}, chr(10))) AS line, generate_subscripts(string_split({row}, chr(10)), 1) AS line_place FROM feed_{entity}
+    UNION ALL SELECT DISTINCT logical_date, -1, '', '{','.join(spec.csv_columns)}', 1 FROM feed_{entity}))
+  GROUP BY logical_date)"""
+
+
+oracle("file_checksum", per_entity(checksum_sql), *FEEDS)
 oracle("missing_files", per_entity(lambda e, s: f"SELECT logical_date, '{e}.csv' AS file_name, false AS is_missing, count(*) AS row_count FROM feed_{e} GROUP BY logical_date"), *FEEDS)
 oracle("feed_operation", per_entity(lambda e, s: f"SELECT '{e}' AS entity, {s.key} AS raw_key, operation FROM dirty_{e}"), *DIRTY)
 oracle("row_number_lineage", per_entity(lambda e, s: f"""SELECT '{e}' AS entity, logical_date,
@@ -46,12 +68,32 @@ FROM (SELECT DISTINCT source_record_hash, operation, logical_date FROM bronze_{e
 GROUP BY logical_date"""), *BRONZE)
 oracle("committed_rows", per_entity(lambda e, s: f"""SELECT logical_date, operation, count(*) AS row_count, '{e}' AS entity
 FROM feed_{e} WHERE logical_date <= {UPDATE} GROUP BY logical_date, operation"""), *FEEDS)
-oracle("evolve_schema", """SELECT customer_id, first_name, true AS push_opt_in_missing, true AS preferred_category_missing,
-  source_record_hash FROM bronze_customers""", "bronze_customers")
-oracle("convert_types", f"""SELECT trim(order_id)::BIGINT AS order_id, nullif(order_value, '')::DECIMAL(12,2) AS order_value,
-  {boolean('attributed_to_promo')} AS attributed_to_promo, business_date::DATE AS business_date,
-  strptime(source_updated_at, '%Y-%m-%dT%H:%M:%SZ') AS source_updated_at, nullif(order_status, '') AS order_status,
-  nullif(promotion_id, '') AS promotion_id FROM feed_orders""", "feed_orders")
+oracle("evolve_schema", per_entity(lambda e, s: f"""SELECT '{e}' AS entity, concat_ws('|', {', '.join(f"coalesce({x}, '~')" for x in s.columns[:-2])}) AS held,
+  true AS gained_as_null, true AS whole, source_record_hash FROM bronze_{e}"""), *BRONZE)
+TYPED = {
+    "customers": {"customer_id": "BIGINT", "avg_order_value": "DECIMAL(12,2)", "promo_sensitivity": "FLOAT", "email_opt_in": "BOOLEAN",
+                  "total_lifetime_orders": "INTEGER"},
+    "promotions": {"promotion_id": "BIGINT", "discount_value": "DOUBLE", "campaign_duration_days": "INTEGER", "budget_allocated": "DECIMAL(14,2)",
+                   "expected_response_rate": "FLOAT"},
+    "orders": {"order_id": "BIGINT", "customer_id": "BIGINT", "order_value": "DECIMAL(12,2)", "attributed_to_promo": "BOOLEAN"},
+    "order_items": {"order_item_id": "BIGINT", "order_id": "BIGINT", "quantity": "INTEGER", "unit_price": "DOUBLE", "attributed_to_promo": "BOOLEAN"},
+}
+
+
+def stored_text(x: str, kind: str) -> str:
+    """A field converted to a stored type, as text."""
+    if kind == "VARCHAR":
+        return f"nullif({x}, '')"
+    if kind == "BOOLEAN":
+        return f"({boolean(f'trim({x})')})::VARCHAR"
+    pattern = "'^-?\\d+$'" if kind in ("BIGINT", "INTEGER") else "'^-?\\d+(\\.\\d+)?$'"
+    shown = "::DECIMAL(20,4)" if kind in ("FLOAT", "DOUBLE") else ""
+    return f"CASE WHEN regexp_matches(trim({x}), {pattern}) THEN (trim({x})::{kind}{shown})::VARCHAR END"
+
+
+oracle("convert_types", per_entity(lambda e, s: f"""SELECT '{e}' AS entity, concat_ws('|', {', '.join(
+  f"coalesce({stored_text(x, TYPED[e].get(x, 'VARCHAR'))}, '~')" for x in s.columns)}, business_date::DATE::VARCHAR,
+  strftime(strptime(source_updated_at, '%Y-%m-%dT%H:%M:%SZ'), '%Y-%m-%d %H:%M:%S')) AS converted FROM feed_{e}"""), *FEEDS)
 oracle("reset_empty", per_entity(lambda e, s: f"""SELECT 'before' AS stage, '{s.table}' AS table_name, count(*) AS visible_rows FROM feed_{e}
 UNION ALL SELECT 'after', '{s.table}', 0"""), *FEEDS)
 oracle("batch_manifest", per_entity(lambda e, s: f"""SELECT logical_date, count(*) AS row_count, count(*) FILTER (operation = 'I') AS i_count,
@@ -70,9 +112,25 @@ for _e, _s in ENTITIES.items():
 QUALIFY count(*) OVER (PARTITION BY trim({_s.key})) = 1""", f"feed_{_e}")
     cte(f"sound_{_e}", f"SELECT * FROM once_{_e} WHERE true {REFERS[_e]}", f"once_{_e}",
         *[f"sound_{p}" for p in ("customers", "promotions", "orders") if f"sound_{p}" in REFERS[_e]])
+def share(key: str) -> str:
+    return f"('0x' || substr(md5({key}), 1, 4))::INTEGER % 20"
+
+
+SECOND = feeds.DATES[1]
+for _e, _s in ENTITIES.items():
+    _first = f"sound_{_e}"
+    if _e == "customers":
+        cte("broken_customers", f"""SELECT * REPLACE (CASE WHEN {share('customer_id')} % 10 = 0 THEN last_name || chr(10) || last_name ELSE last_name END AS last_name)
+FROM sound_customers""", "sound_customers")
+        _first = "broken_customers"
+    _deleted = f"WHEN {share(_s.key)} = 2 THEN 'D' " if _e == "order_items" else ""
+    cte(f"streamed_{_e}", f"""SELECT * FROM {_first} UNION ALL
+SELECT * REPLACE (CASE WHEN {share(_s.key)} = 1 THEN 'U' {_deleted}END AS operation,
+  replace(source_updated_at, '{feeds.DATES[0]}', '{SECOND}') AS source_updated_at, '{SECOND}' AS business_date, DATE '{SECOND}' AS logical_date)
+FROM {_first} WHERE {share(_s.key)} = 1 {f"OR {share(_s.key)} = 2" if _deleted else ""}""", _first)
 oracle("stream_ingest", per_entity(lambda e, s: f"""SELECT '{e}' AS entity, {s.key} AS raw_key, logical_date, operation,
-  strptime(source_updated_at, '%Y-%m-%dT%H:%M:%SZ') AS source_updated_at, {record_hash(e)} AS source_record_hash FROM sound_{e}"""),
-       *[f"sound_{e}" for e in ENTITIES])
+  strptime(source_updated_at, '%Y-%m-%dT%H:%M:%SZ') AS source_updated_at, length(concat_ws('|', {', '.join(s.columns)}))::INTEGER AS row_length,
+  {record_hash(e)} AS source_record_hash FROM streamed_{e}"""), *[f"streamed_{e}" for e in ENTITIES])
 
 # --- functions ------------------------------------------------------------------------------
 
@@ -141,11 +199,24 @@ fn("clean_nonneg", "promotions", discount_value=nonneg(DISCOUNT), campaign_durat
    budget_allocated=nonneg(BUDGET))
 fn("clean_positive", "order_items", quantity=unless(f"({QTY})", f"({QTY}) > 0"), unit_price=nonneg(PRICE))
 fn("clean_rate", "promotions", expected_response_rate=unless(f"({RATE})", f"({RATE}) BETWEEN 0 AND 1"))
-fn("default_false", "orders", attributed_to_promo=f"coalesce({boolean('t.attributed_to_promo')}, false)")
-fn("flags_numeric", "order_items", invalid_quantity=f"coalesce(({QTY}) <= 0, true)", invalid_unit_price=f"coalesce(({PRICE}) < 0, true)")
+ATTRIBUTED = f"coalesce({boolean('t.attributed_to_promo')}, false)"
+
+
+def both(name: str, orders: dict[str, str], items: dict[str, str], join: str = "", *needs: str) -> None:
+    oracle(name, union([f"SELECT '{e}' AS entity, raw_key, {', '.join(f'{x} AS {n}' for n, x in cells.items())} FROM text_{e} t {join}"
+                        for e, cells in (("orders", orders), ("order_items", items))]), "text_orders", "text_order_items", *needs)
+
+
+def both_alike(name: str, cells: dict[str, str], join: str = "", *needs: str) -> None:
+    both(name, cells, cells, join, *needs)
+
+
+both_alike("default_false", {"attributed_to_promo": ATTRIBUTED})
+both("flags_numeric", {"invalid_quantity": "NULL::BOOLEAN", "invalid_amount": f"coalesce(({dec('t.order_value')}) < 0, true)"},
+     {"invalid_quantity": f"coalesce(({QTY}) <= 0, true)", "invalid_amount": f"coalesce(({PRICE}) < 0, true)"})
 oracle("flags_missing", """SELECT 'orders' AS entity, raw_key, promotion_id IS NULL AS is_missing FROM text_orders
 UNION ALL SELECT 'customers', raw_key, last_purchase_date IS NULL FROM text_customers""", "text_orders", "text_customers")
-fn("flags_attribution", "order_items", attributed_without_promotion=f"coalesce({boolean('t.attributed_to_promo')}, false) AND t.promotion_id IS NULL")
+both_alike("flags_attribution", {"attributed_without_promotion": f"{ATTRIBUTED} AND t.promotion_id IS NULL"})
 fn("flags_phone", "customers", invalid_phone=phone_bad("t.phone_number"))
 fn("flags_date", "customers", invalid_registration_date=f"t.registration_date IS NOT NULL AND ({date_of('t.registration_date')}) IS NULL")
 RANGE = range_bad(f"({date_of('t.start_date')})", f"({date_of('t.end_date')})")
@@ -153,10 +224,9 @@ fn("flags_range", "promotions", invalid_date_range=RANGE, is_valid_date_range=f"
 fn("flags_rate_budget", "promotions", invalid_rate=f"coalesce(({RATE}) NOT BETWEEN 0 AND 1, true)",
    invalid_budget=f"coalesce(({BUDGET}) < 0, true) OR coalesce(({CPA}) < 0, true)")
 oracle("line_total", "SELECT order_item_id, (quantity::BIGINT * unit_price)::DECIMAL(23,2) AS line_total FROM silver_order_items", "silver_order_items")
-oracle("keep_if_referenced", f"""SELECT raw_key, p.promotion_id FROM text_orders t LEFT JOIN silver_promotions p
-ON p.promotion_id = {big('t.promotion_id')}""", "text_orders", "silver_promotions")
-oracle("flags_reference", f"""SELECT raw_key, t.promotion_id IS NOT NULL AND p.promotion_id IS NULL AS dangling_promotion
-FROM text_orders t LEFT JOIN silver_promotions p ON p.promotion_id = {big('t.promotion_id')}""", "text_orders", "silver_promotions")
+TO_PROMOTION = f"LEFT JOIN silver_promotions p ON p.promotion_id = {big('t.promotion_id')}"
+both_alike("keep_if_referenced", {"promotion_id": "p.promotion_id"}, TO_PROMOTION, "silver_promotions")
+both_alike("flags_reference", {"dangling_promotion": "t.promotion_id IS NOT NULL AND p.promotion_id IS NULL"}, TO_PROMOTION, "silver_promotions")
 
 # --- versions --------------------------------------------------------------------------------------
 

@@ -67,8 +67,17 @@ def read_feed(w: Warehouse) -> DataFrame:
         F.lit(n).alias("entity"), landing.arrival_date(c("_file")).alias("logical_date"), joined_row(s)))
 
 
-simple("header_check", lambda w: landing.header_report(w.spark, landed(w)).groupBy(
-    "entity", landing.arrival_date(c("file")).alias("logical_date")).agg(F.bool_and("is_expected").alias("is_expected")))
+@query("header_check")
+def header_check(w: Warehouse) -> DataFrame:
+    """All delivered headers, and those of a further date: swapped names, a name too few, no header at all, and quoted names."""
+    root, odd = fresh_dir(w.spark, "headers"), feeds.DIRTY_DATE
+    for (name, spec), change in zip(ENTITIES.items(), (
+        lambda n: [n[1], n[0], *n[2:]], lambda n: n[:-1], None, lambda n: [f'"{x}"' for x in n]), strict=True):
+        rows = w.feed(name).where(c("logical_date") == day(LAST_DAY)).select(F.concat_ws(",", *spec.csv_columns).alias("value"))
+        head = w.spark.createDataFrame([(",".join(change(list(spec.csv_columns))),)] if change else [], "value string")
+        head.unionByName(rows).coalesce(1).write.text(f"{root}/{odd}/{name}.csv")
+    report = landing.header_report(w.spark, [*landed(w), f"{root}/{odd}"])
+    return report.groupBy("entity", landing.arrival_date(c("file")).alias("logical_date")).agg(F.bool_and("is_expected").alias("is_expected"))
 
 
 @query("missing_files")
@@ -146,24 +155,57 @@ def committed_rows(w: Warehouse) -> DataFrame:
 
 @query("evolve_schema")
 def evolve_schema(w: Warehouse) -> DataFrame:
-    """An older raw table without two of the contract's columns gains them as NULL."""
-    spec = ENTITIES["customers"]
-    older = w.bronze("customers").drop("preferred_category", "push_opt_in")
-    return bronze.evolve_schema(older, spec).select(
-        "customer_id", "first_name", c("push_opt_in").isNull().alias("push_opt_in_missing"),
-        c("preferred_category").isNull().alias("preferred_category_missing"), "source_record_hash")
+    """Older raw tables without the last two business columns gain them as NULL and keep all else."""
+    def one(name: str, spec) -> DataFrame:
+        lost = spec.columns[-2:]
+        after = bronze.evolve_schema(w.bronze(name).drop(*lost), spec)
+        held = F.concat_ws("|", *[F.coalesce(c(x), F.lit("~")) for x in spec.columns[:-2]]).alias("held")
+        absent = F.lit(True)
+        for x in lost:
+            absent = absent & c(x).isNull()
+        return after.select(F.lit(name).alias("entity"), held, absent.alias("gained_as_null"),
+                            F.lit(sorted(after.columns) == sorted(spec.bronze_schema.names)).alias("whole"), "source_record_hash")
+    return each(one)
+
+
+#: The types of an older, typed raw table, by column; all others are text.
+TYPED = {
+    "customers": {"customer_id": "bigint", "avg_order_value": "decimal(12,2)", "promo_sensitivity": "float", "email_opt_in": "boolean",
+                  "total_lifetime_orders": "int"},
+    "promotions": {"promotion_id": "bigint", "discount_value": "double", "campaign_duration_days": "int", "budget_allocated": "decimal(14,2)",
+                   "expected_response_rate": "float"},
+    "orders": {"order_id": "bigint", "customer_id": "bigint", "order_value": "decimal(12,2)", "attributed_to_promo": "boolean"},
+    "order_items": {"order_item_id": "bigint", "order_id": "bigint", "quantity": "int", "unit_price": "double", "attributed_to_promo": "boolean"},
+}
+#: What a text must look like to be converted here; a batch with any other fails.
+FITS = {"bigint": P.SIGNED, "int": P.SIGNED, "decimal": P.DECIMAL, "float": P.DECIMAL, "double": P.DECIMAL}
 
 
 @query("convert_types")
 def convert_types(w: Warehouse) -> DataFrame:
-    """Texts converted to the types of an older, typed raw table; empty is NULL."""
-    def stored(name: str, type_name: str):
-        return P.to_stored_type(F.col(name), type_name).alias(name)
-    return w.feed("orders").select(
-        stored("order_id", "bigint"), stored("order_value", "decimal(12,2)"),
-        stored("attributed_to_promo", "boolean"), stored("business_date", "date"),
-        stored("source_updated_at", "timestamp"), stored("order_status", "string"), stored("promotion_id", "string"),
-    )
+    """The texts of all four feeds converted to the types of older, typed raw tables and to date and timestamp, shown as one row of texts.
+
+    Every type keeps its own columns; feeds hold texts that fit no type, which are left out as empty.
+    """
+    def one(name: str, spec) -> DataFrame:
+        cells = []
+        for column in [*spec.columns, "business_date", "source_updated_at"]:
+            kind = TYPED[name].get(column, {"business_date": "date", "source_updated_at": "timestamp"}.get(column, "string"))
+            text, plain = X.strip_all(c(column)), kind.split("(")[0]
+            if plain == "boolean":
+                text = F.when(F.lower(text).isin(specs.TRUE_TOKENS + specs.FALSE_TOKENS), c(column)).otherwise(F.lit(""))
+            elif plain in FITS:
+                text = F.when(text.rlike(FITS[plain]), c(column)).otherwise(F.lit(""))
+            else:
+                text = c(column)
+            made = P.to_stored_type(text, kind)
+            if plain in ("float", "double"):
+                made = made.cast("decimal(20,4)")
+            elif plain == "timestamp":
+                made = F.date_format(made, "yyyy-MM-dd HH:mm:ss")
+            cells.append(F.coalesce(made.cast("string"), F.lit("~")))
+        return w.feed(name).select(F.lit(name).alias("entity"), F.concat_ws("|", *cells).alias("converted"))
+    return each(one)
 
 
 @query("profile_sink")
@@ -233,6 +275,12 @@ def texts(w: Warehouse, entity: str) -> DataFrame:
         F.col(spec.key).alias("raw_key"), *[X.text_clean(F.col(c)).alias(c) for c in spec.columns])
 
 
+def both(name: str, orders: dict, items: dict) -> None:
+    """Register a row rule of orders and order items over both tables; the columns have the same names."""
+    simple(name, lambda w: texts(w, "orders").select(F.lit("orders").alias("entity"), "raw_key", *[make().alias(n) for n, make in orders.items()]).unionByName(
+        texts(w, "order_items").select(F.lit("order_items").alias("entity"), "raw_key", *[make().alias(n) for n, make in items.items()])))
+
+
 def function_query(name: str, entity: str, **columns) -> None:
     """Register a query of column functions over an entity's cleaned texts."""
     simple(name, lambda w: texts(w, entity).select("raw_key", *[make().alias(n) for n, make in columns.items()]))
@@ -303,17 +351,24 @@ function_query("clean_positive", "order_items",
                unit_price=lambda: silver.null_if_negative(money("unit_price")))
 function_query("clean_rate", "promotions", expected_response_rate=lambda: silver.null_if_outside(
     P.to_decimal(c("expected_response_rate"), 8, 4), 0, 1))
-function_query("default_false", "orders", attributed_to_promo=lambda: silver.default_false(
-    P.bool_value(c("attributed_to_promo"))))
-function_query("flags_numeric", "order_items",
-               invalid_quantity=lambda: silver.missing_or(P.to_signed_int(c("quantity")), P.to_signed_int(c("quantity")) <= 0),
-               invalid_unit_price=lambda: silver.missing_or(money("unit_price"), money("unit_price") < 0))
+def attributed():
+    return silver.default_false(P.bool_value(c("attributed_to_promo")))
+
+
+def bad_amount(name: str):
+    return silver.missing_or(money(name), money(name) < 0)
+
+
+both("default_false", {"attributed_to_promo": attributed}, {"attributed_to_promo": attributed})
+both("flags_numeric", {"invalid_quantity": lambda: F.lit(None).cast("boolean"), "invalid_amount": lambda: bad_amount("order_value")},
+     {"invalid_quantity": lambda: silver.missing_or(P.to_signed_int(c("quantity")), P.to_signed_int(c("quantity")) <= 0),
+      "invalid_amount": lambda: bad_amount("unit_price")})
 simple("flags_missing", lambda w: texts(w, "orders").select(
     F.lit("orders").alias("entity"), "raw_key", c("promotion_id").isNull().alias("is_missing")).unionByName(
     texts(w, "customers").select(F.lit("customers").alias("entity"), "raw_key",
                                  c("last_purchase_date").isNull().alias("is_missing"))))
-function_query("flags_attribution", "order_items", attributed_without_promotion=lambda: silver.default_false(
-    P.bool_value(c("attributed_to_promo"))) & c("promotion_id").isNull())
+BARE = {"attributed_without_promotion": lambda: attributed() & c("promotion_id").isNull()}
+both("flags_attribution", BARE, BARE)
 function_query("flags_phone", "customers", invalid_phone=lambda: X.invalid_phone(c("phone_number")))
 function_query("flags_date", "customers", invalid_registration_date=lambda: c("registration_date").isNotNull()
                & P.parse_date(c("registration_date")).isNull())
@@ -338,16 +393,21 @@ simple("line_total", lambda w: w.silver("order_items").select(
     "order_item_id", silver.line_total(c("quantity"), c("unit_price")).alias("line_total")))
 
 
-def linked_orders(w: Warehouse) -> DataFrame:
-    rows = texts(w, "orders").select("raw_key", c("promotion_id").alias("promotion_text"),
-                                     P.digits_to_bigint(c("promotion_id")).alias("promotion_id"))
+def linked(w: Warehouse, entity: str) -> DataFrame:
+    """Rows with their promotion reference, as text and number, and the promotion it finds."""
+    rows = texts(w, entity).select(F.lit(entity).alias("entity"), "raw_key", c("promotion_id").alias("promotion_text"),
+                                   P.digits_to_bigint(c("promotion_id")).alias("promotion_id"))
     return silver.with_known(rows, w.silver("promotions"), "promotion_id")
 
 
-simple("keep_if_referenced", lambda w: linked_orders(w).select(
-    "raw_key", silver.keep_if_referenced(c("promotion_id"), c("_known_promotion_id")).alias("promotion_id")))
-simple("flags_reference", lambda w: linked_orders(w).select(
-    "raw_key", (c("promotion_text").isNotNull() & c("_known_promotion_id").isNull()).alias("dangling_promotion")))
+def linked_both(w: Warehouse) -> DataFrame:
+    return linked(w, "orders").unionByName(linked(w, "order_items"))
+
+
+simple("keep_if_referenced", lambda w: linked_both(w).select(
+    "entity", "raw_key", silver.keep_if_referenced(c("promotion_id"), c("_known_promotion_id")).alias("promotion_id")))
+simple("flags_reference", lambda w: linked_both(w).select(
+    "entity", "raw_key", (c("promotion_text").isNotNull() & c("_known_promotion_id").isNull()).alias("dangling_promotion")))
 
 
 # --- versions -------------------------------------------------------------------------------
@@ -678,20 +738,55 @@ def acceptable(w: Warehouse, day_text: str) -> dict[str, DataFrame]:
     return kept
 
 
+QUOTED_BREAK = ("customers", "last_name", "customer_id")
+
+
+def share(key: str):
+    """A number below 20 from the digest of a key."""
+    return F.conv(F.substring(F.md5(F.col(key).cast("binary")), 1, 4), 16, 10).cast("int") % 20
+
+
+def streamed_dates(w: Warehouse) -> dict[str, dict[str, DataFrame]]:
+    """What three dates deliver: sound inserts, one field in ten of which spans lines; updates and deletes of some of
+    them; and changes of which some break a row rule, beside updates that do not."""
+    first, second, third = feeds.DATES
+    kept = acceptable(w, first)
+    table, column, key = QUOTED_BREAK
+    broken = F.when(share(key) % 10 == 0, F.concat(c(column), F.lit("\n"), c(column))).otherwise(c(column))
+    kept[table] = kept[table].withColumn(column, broken)
+
+    def later(name: str, date: str, operation, business=None) -> DataFrame:
+        spec = ENTITIES[name]
+        moved = F.regexp_replace("source_updated_at", f"^{first}", date)
+        changed = kept[name].withColumn("operation", operation).withColumn("source_updated_at", moved).withColumn("business_date", business if business is not None else F.lit(date))
+        return changed.where("operation <> ''").select(*spec.csv_columns, "source_row_number")
+
+    # Only items are deleted, as nothing refers to them.
+    updates = {n: later(n, second, F.when(share(s.key) == 1, "U").when((share(s.key) == 2) & F.lit(n == "order_items"), "D").otherwise("")) for n, s in ENTITIES.items()}
+    wrong = {n: later(n, third, F.when(share(s.key) == 3, "U").when(share(s.key) == 4, "Q").otherwise(""),
+                      F.when(share(s.key) == 3, F.lit(third)).otherwise(F.lit("2026-13-01"))) for n, s in ENTITIES.items()}
+    return {first: kept, second: updates, third: wrong}
+
+
 @query("stream_ingest")
 def stream_ingest(w: Warehouse) -> DataFrame:
-    """Published raw rows after streaming three dates: a sound one, the same rows again under a later
-    date (refused, as their times lie on the first), and one that lacks files. A second stream adds nothing."""
+    """Published raw rows after streaming five dates: inserts with line breaks in fields, updates and deletes, changes that
+    break row rules (refused as a whole), the first date's rows again under a later one (refused, as their times
+    lie on the first), and a date that lacks files. A second stream adds nothing."""
     root = fresh_dir(w.spark, "stream")
-    first, again, partial_day = feeds.DATES
-    kept = acceptable(w, first)
-    for name, spec in ENTITIES.items():
-        rows = kept[name].orderBy("source_row_number").select(*spec.csv_columns)
-        for date in (first, again, *([partial_day] if name == "customers" else [])):
-            rows.write.options(**LANDING_WRITE).csv(f"{root}/incoming/{date}/{name}.csv")
+    delivered = streamed_dates(w)
+    delivered[feeds.DIRTY_DATE] = delivered[feeds.DATES[0]]
+    for date, tables in delivered.items():
+        for name, spec in ENTITIES.items():
+            tables[name].orderBy("source_row_number").select(*spec.csv_columns).write.options(**LANDING_WRITE).csv(f"{root}/incoming/{date}/{name}.csv")
+    w.feed("customers").limit(0).select(*ENTITIES["customers"].csv_columns).coalesce(1).write.options(**LANDING_WRITE).csv(f"{root}/incoming/2026-09-05/customers.csv")
     pipeline = Pipeline(w.spark, f"{root}/warehouse")
     for attempt in (1, 2):
         ingest.ingest_all(pipeline, f"{root}/incoming", f"{root}/checkpoint-{attempt}")
     return each(lambda n, s: pipeline.bronze(n).select(
         F.lit(n).alias("entity"), F.col(s.key).alias("raw_key"), "logical_date", "operation", "source_updated_at",
-        "source_record_hash"))
+        F.length(joined_row_of(s)).alias("row_length"), "source_record_hash"))
+
+
+def joined_row_of(spec: specs.EntitySpec):
+    return F.concat_ws("|", *[F.coalesce(F.col(x), F.lit("")) for x in spec.columns])

@@ -98,19 +98,34 @@ def lacks_offset(c: Column) -> Column:
     return text.rlike(ISO_LOCAL) & text.try_cast("timestamp_ntz").isNotNull()
 
 
+# What a text of each stored numeric type looks like; anything else fails the batch.
+NUMBER_TEXT = {
+    "int": SIGNED, "integer": SIGNED, "bigint": SIGNED, "smallint": SIGNED, "decimal": DECIMAL,
+    "float": r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\z", "double": r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\z",
+}
+
+
 def to_stored_type(c: Column, type_name: str) -> Column:
-    """Convert a source text to the stored column type; empty is NULL, a bad value fails the batch."""
+    """Convert a source text to the stored column type; empty is NULL, a bad value fails the batch and is named.
+
+    The session's ANSI mode does not matter: every conversion is tried, and what it leaves NULL is raised.
+    White space around a value counts for nothing. A decimal is rounded half up to the scale; one that does
+    not fit its precision is a bad value.
+    """
     if type_name == "string":
         return F.nullif(c, F.lit(""))
-    if type_name == "boolean":
-        token = F.lower(strip_all(c))
+    text = strip_all(c)
+    kind = type_name.split("(")[0]
+    if kind == "boolean":
+        token = F.lower(text)
         parsed = F.when(token.isin(specs.TRUE_TOKENS), F.lit(True)).when(token.isin(specs.FALSE_TOKENS), F.lit(False))
-        checked = F.coalesce(parsed, F.raise_error(F.concat(F.lit("invalid boolean value: "), c)).cast("boolean"))
-        return F.when(c != "", checked)
-    if type_name.startswith("timestamp"):
-        failed = F.raise_error(F.concat(F.lit("invalid timestamp: "), c)).cast("timestamp")
-        return F.when(c != "", F.coalesce(parse_utc_timestamp(c), failed))
-    if type_name == "date":
-        failed = F.raise_error(F.concat(F.lit("invalid date: "), c)).cast("date")
-        return F.when(c != "", F.coalesce(parse_whole_date(c), failed))
-    return F.when(c != "", c.cast(type_name))
+    elif kind.startswith("timestamp"):
+        parsed = parse_utc_timestamp(c)
+    elif kind == "date":
+        parsed = parse_whole_date(c)
+    elif kind in NUMBER_TEXT:
+        parsed = F.when(text.rlike(NUMBER_TEXT[kind]), text.try_cast(type_name))
+    else:
+        raise ValueError(f"no text is converted to {type_name}")
+    failed = F.raise_error(F.concat(F.lit(f"invalid {kind} value: "), c)).cast(type_name)
+    return F.when(text != "", F.coalesce(parsed.cast(type_name), failed))

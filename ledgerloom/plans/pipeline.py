@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable
 from datetime import UTC, date, datetime
@@ -9,6 +10,7 @@ from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerloom import specs
 from ledgerloom.functions.keys import source_file
@@ -18,7 +20,7 @@ from ledgerloom.plans.control import ControlError, ControlTables
 from ledgerloom.plans.quality import union_all
 from ledgerloom.session import run_together, use_utc
 from ledgerloom.sources import bronze, landing
-from ledgerloom.sources.store import TableStore
+from ledgerloom.sources.store import TableStore, layer_path
 from ledgerloom.specs import ENTITIES
 
 
@@ -84,17 +86,35 @@ class Pipeline:
     def bronze_path(self, entity: str) -> str:
         return self.store.path("bronze", ENTITIES[entity].table)
 
+    def raw_schema(self, entity: str) -> T.StructType:
+        """The raw table's schema as stored with it, with the contract's columns it lacks.
+
+        A table that another loader wrote has no stored schema yet; its files' own one is taken over.
+        """
+        path, spec = self.bronze_path(entity), ENTITIES[entity]
+        kept = f"{path}/{RAW_SCHEMA}"
+        if self.store.files.exists(kept):
+            stored = T.StructType.fromJson(json.loads(self.store.files.read_text(kept)))
+        elif self.store.files.exists(path):
+            stored = self.spark.read.option("mergeSchema", True).parquet(path).schema
+        else:
+            return bronze.bronze_read_schema(spec)
+        return bronze.evolved(stored, spec)
+
     def all_bronze(self, entity: str) -> DataFrame:
-        """Raw rows of every attempt, published or not."""
-        spec, path = ENTITIES[entity], self.bronze_path(entity)
-        schema = bronze.bronze_read_schema(spec)
-        if not self.store.files.exists(path):
+        """Raw rows of every attempt, published or not; columns keep the types they are stored with."""
+        path, schema = self.bronze_path(entity), self.raw_schema(entity)
+        if not any(n[0] not in "_." for n in self.store.files.names(path)):
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(path)
 
     def bronze(self, entity: str) -> DataFrame:
-        """Raw rows of published batches."""
-        return bronze.committed_rows(self.all_bronze(entity), self.control.batches())
+        """Raw rows of published batches, business columns as text."""
+        return self._published(entity, self.control.batches())
+
+    def _published(self, entity: str, batches: DataFrame) -> DataFrame:
+        rows = bronze.committed_rows(self.all_bronze(entity), batches)
+        return bronze.as_texts(rows, ENTITIES[entity]).select(bronze.bronze_read_schema(ENTITIES[entity]).names)
 
     def unmerged_versions(self, entity: str) -> DataFrame:
         """Versions that decide the newest ones: those stored so far, and of batches not yet completed.
@@ -105,8 +125,7 @@ class Pipeline:
         if not self.store.exists("newest", entity):
             return self.bronze(entity)
         waiting = self.control.batches().where("status = 'ingested'")
-        fresh = bronze.committed_rows(self.all_bronze(entity), waiting)
-        return self.store.read("newest", entity).unionByName(fresh)
+        return self.store.read("newest", entity).unionByName(self._published(entity, waiting))
 
     def read(self, layer: str, table: str) -> DataFrame:
         if layer == "bronze":
@@ -182,8 +201,11 @@ class Pipeline:
 
         def append(name: str, spec: specs.EntitySpec) -> list:
             file_name = source_file(name, day)
+            schema = self.raw_schema(name)
+            # Stored before the first row that has the new columns.
+            self.store.files.replace_text(f"{self.bronze_path(name)}/{RAW_SCHEMA}", schema.json())
             rows = bronze.to_bronze(
-                staged[name], spec, F.lit(identifier), day, file_name, F.lit(sums[name]), F.lit(now)
+                staged[name], spec, F.lit(identifier), day, file_name, F.lit(sums[name]), F.lit(now), bronze.stored_types(schema, spec)
             )
             same_day = self.bronze(name).where(F.col("logical_date") == day)
             fresh = bronze.new_versions(same_day, rows).select(*rows.columns, F.lit(attempt).alias("attempt_id"))
@@ -238,9 +260,10 @@ class Pipeline:
 
     # --- reset ---------------------------------------------------------------
     def reset(self, confirm: bool) -> None:
-        """Empty the raw layer and the control tables; refuses without confirmation.
+        """Empty the raw layer, the control tables and all that was built; refuses without confirmation.
 
-        With no published batch left, raw files already written are invisible to every reader.
+        The control tables go first, so no later reader sees a row of what is then removed: raw partitions, their
+        stored schemas, staged rows and the built layers. A reader that began before ends with a missing file.
         """
         if not confirm:
             raise ValueError("Refusing to reset data without confirmation")
@@ -248,6 +271,11 @@ class Pipeline:
             self.control.save(self.spark.createDataFrame([], schema), name)
         for name, spec in ENTITIES.items():
             self.store.write(self.spark.createDataFrame([], bronze.bronze_read_schema(spec)), "newest", name)
+            self.store.files.remove(self.bronze_path(name))
+        for layer in ("staging", "silver", "gold"):
+            self.store.files.remove(layer_path(self.store.root, layer))
 
 
+#: Kept beside a raw table's partitions; readers of tables skip names that begin so.
+RAW_SCHEMA = "_schema.json"
 KEY_COLUMNS = ["operation", "source_updated_at", "ingested_at", "batch_id", "source_record_hash"]

@@ -34,12 +34,28 @@ def to_bronze(
     )
 
 
-def evolve_schema(df: DataFrame, spec: EntitySpec, stored_types: dict[str, str] | None = None) -> DataFrame:
+def evolved(stored: T.StructType, spec: EntitySpec) -> T.StructType:
+    """A stored table's columns with their own types, and the contract's columns it lacks, as text."""
+    names = {f.name for f in stored.fields}
+    return T.StructType([*stored.fields, *[f for f in bronze_read_schema(spec).fields if f.name not in names]])
+
+
+def stored_types(stored: T.StructType, spec: EntitySpec) -> dict[str, str]:
+    """The types that new rows' business columns are converted to."""
+    return {f.name: f.dataType.simpleString() for f in stored.fields if f.name in spec.columns}
+
+
+def evolve_schema(df: DataFrame, spec: EntitySpec) -> DataFrame:
     """Give an older raw table the contract's missing columns, as NULL text; keep its own types."""
-    empty = df.sparkSession.createDataFrame([], spec.bronze_schema)
     present = set(df.columns)
-    missing = [c for c in empty.columns if c not in present]
-    return df.unionByName(empty.select(*missing), allowMissingColumns=True) if missing else df
+    missing = [f for f in evolved(df.schema, spec).fields if f.name not in present and f.name in spec.bronze_schema.names]
+    return df.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in missing])
+
+
+def as_texts(df: DataFrame, spec: EntitySpec) -> DataFrame:
+    """The business columns of a typed raw table as the texts that cleaning starts from."""
+    typed = {f.name for f in df.schema.fields if f.name in spec.columns and f.dataType != T.StringType()}
+    return df.select(*[F.col(c).cast("string").alias(c) if c in typed else F.col(c) for c in df.columns]) if typed else df
 
 
 def new_versions(bronze: DataFrame, batch: DataFrame) -> DataFrame:

@@ -59,6 +59,16 @@ class Files:
         found = [s.getPath() for s in fs.listStatus(target) if s.isFile()]
         return sorted(p.toString() for p in found if p.getName()[0] not in "_.")
 
+    def empty_files(self, path: str) -> list[str]:
+        """Those data files without a byte, which Spark's readers leave out; the others are not gathered."""
+        target, fs = self._at(path)
+        listed, found = fs.listLocatedStatus(target), []
+        while listed.hasNext():
+            status = listed.next()
+            if status.isFile() and status.getLen() == 0 and status.getPath().getName()[0] not in "_.":
+                found.append(status.getPath().toString())
+        return found
+
     def read_text(self, path: str) -> str:
         target, fs = self._at(path)
         stream = fs.open(target)
@@ -86,7 +96,6 @@ class Files:
         if not fs.rename(start, end):
             raise OSError(f"cannot move {source} to {target}")
 
-
     def remove(self, path: str) -> None:
         target, fs = self._at(path)
         fs.delete(target, True)

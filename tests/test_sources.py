@@ -108,13 +108,63 @@ def test_all_four_files_are_required(spark, batch_dir):
         landing.require_files(spark, str(batch_dir))
 
 
-def test_checksums_are_those_of_the_bytes(spark, batch_dir):
-    write_csv(batch_dir / "order_items.csv", ITEMS, [item("1")])
-    got = {r.entity: r.file_checksum for r in landing.file_checksums(spark, str(batch_dir)).collect()}
-    want = {e: hashlib.sha256((batch_dir / f"{e}.csv").read_bytes()).hexdigest() for e in ENTITIES}
-    assert got == want
+def folded(data: bytes) -> str:
+    """The checksum of a file by its definition."""
+    ended = data.endswith(b"\n")
+    lines = data.split(b"\n")[:-1] if ended else data.split(b"\n")
+    lines = lines if data else []
+    sums = [0] * 4
+    for number, line in enumerate(lines, 1):
+        digest = hashlib.sha256(b"%d:%s" % (number, line)).hexdigest()
+        for k in range(4):
+            sums[k] += int(digest[16 * k:16 * k + 16], 16)
+    return hashlib.sha256(":".join(map(str, [*sums, len(lines), int(bool(data) and not ended)])).encode()).hexdigest()
+
+
+def checksum(spark, directory):
+    return {r.entity: r.file_checksum for r in landing.file_checksums(spark, str(directory)).collect()}
+
+
+def test_checksums_fold_the_lines_of_the_bytes(spark, batch_dir):
+    write_csv(batch_dir / "order_items.csv", ITEMS, [item("1", product_category="é\nü"), item("2")])
+    (batch_dir / "orders.csv").write_bytes(b"a,b\r\n1,\xff\xfe\n\n3")
+    (batch_dir / "customers.csv").write_bytes(b"")
+    got = checksum(spark, batch_dir)
+    assert got == {e: folded((batch_dir / f"{e}.csv").read_bytes()) for e in ENTITIES}
     manifest = landing.manifest_checksum(landing.file_checksums(spark, str(batch_dir))).collect()[0][0]
-    assert manifest == hashlib.sha256("".join(sorted(want.values())).encode()).hexdigest()
+    assert manifest == hashlib.sha256("".join(sorted(got.values())).encode()).hexdigest()
+
+
+def test_checksums_do_not_depend_on_splits_or_part_files(spark, batch_dir, tmp_path_factory):
+    rows = [item(str(k), product_category="x" * (k % 90)) for k in range(4000)]
+    write_csv(batch_dir / "order_items.csv", ITEMS, rows)
+    whole = checksum(spark, batch_dir)["order_items"]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        assert spark.read.text(str(batch_dir / "order_items.csv")).rdd.getNumPartitions() > 10
+        assert checksum(spark, batch_dir)["order_items"] == whole == folded((batch_dir / "order_items.csv").read_bytes())
+        other = tmp_path_factory.mktemp("parts")
+        for spec in ENTITIES.values():
+            if spec is not ITEMS:
+                write_csv(other / f"{spec.name}.csv", spec, [])
+        (other / "order_items.csv").mkdir()
+        for part, at in enumerate(range(0, 4000, 700)):
+            write_csv(other / "order_items.csv" / f"part-{part:05d}.csv", ITEMS, rows[at:at + 700])
+        (other / "order_items.csv" / "_SUCCESS").write_text("")
+        assert checksum(spark, other)["order_items"] == whole
+        rows[17], rows[3000] = rows[3000], rows[17]
+        write_csv(batch_dir / "order_items.csv", ITEMS, rows)
+        assert checksum(spark, batch_dir)["order_items"] != whole
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_headers_are_compared_as_csv(spark):
+    names = ITEMS.csv_columns
+    lines = [",".join(names), ",".join(f'"{n}"' for n in names), ",".join([*names, ""]), ",".join(names[:-1]), ",".join([names[1], names[0], *names[2:]]), "", None, ",".join(names).upper()]
+    df = spark.createDataFrame(list(enumerate(lines)), "k int, line string")
+    got = {r.k: r.ok for r in df.select("k", landing.is_header(F.col("line"), ITEMS).alias("ok")).collect()}
+    assert [got[k] for k in range(len(lines))] == [True, True, False, False, False, False, False, False]
 
 
 def test_only_unseen_hashes_are_new(spark):
