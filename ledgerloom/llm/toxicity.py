@@ -6,9 +6,12 @@ and the sum of the vector products of all its term pairs, so an insult beside a
 weighs more than both alone. Pairs are summed in time linear in the terms.
 
 Only the fit is bounded: it uses at most ``per_class`` labelled texts of either label (those with
-the smallest hash of their id) and at most ``features`` terms (those that toxic texts hold more often,
-whose chi-square with the label in that sample is largest and at least ``least_chi2``: harmless words
-are no evidence, so a long text does not outweigh its insults). Scoring covers every whole text.
+the smallest hash of their id). Its terms are chosen in rounds. First come those that toxic texts hold more
+often than clean ones, by a chi-square with the label of at least ``least_chi2``; harmless words are no evidence,
+so a long text does not outweigh its insults. Then the toxic texts that the machine still misses are compared
+with the clean ones alone: words that are toxic only together stand in all texts of their kind, however often
+each of them is harmless by itself. Rounds go on, each with a new fit, until no term is added or nothing is
+missed. Scoring covers every whole text.
 
 Defined results: null and empty texts get the score of the bias alone. Labels that are null, or
 whose id or text is missing, teach nothing; of repeated labels each counts. Without labels of both
@@ -36,9 +39,9 @@ STEMS = (4, 5, 6)  # lengths of beginnings, which inflected forms of a word shar
 @dataclass(frozen=True)
 class Settings:
     per_class: int = 6000
-    features: int = 32768
-    least_df: int = 4
     least_chi2: float = 10.83  # one term in a thousand passes by chance
+    caught: float = 0.7  # toxic texts below this score are missed
+    rounds: int = 5
     factors: int = 8
     epochs: int = 40
     rate: float = 0.2
@@ -135,18 +138,50 @@ def train(docs: DataFrame, labels: DataFrame, label: str, settings: Settings = S
             yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(rows, pa.list_(pa.int64()))], ["label", "terms"])
 
     found = scratch.save(texts.select("label", "text").mapInArrow(split, "label int, terms array<bigint>"), "terms")
-    n1, n = found.agg(F.coalesce(F.sum("label"), F.lit(0)), F.count("*")).first()
+    terms = np.zeros(0, np.int64)
+    machine = Machine(0.0, terms, np.zeros(0), np.zeros((0, settings.factors)))
+    for number in range(settings.rounds):
+        rest = found if not number else scratch.save(missed(found, machine, settings), f"missed-{number}")
+        fresh = np.setdiff1d(evidence(rest, settings), terms)
+        if not len(fresh):
+            break
+        terms = np.union1d(terms, fresh)
+        machine = fitted(found, terms, settings)
+    return machine
+
+
+def missed(found: DataFrame, machine: Machine, settings: Settings) -> DataFrame:
+    """The clean texts, and the toxic ones that the machine scores too low."""
+    sent = found.sparkSession.sparkContext.broadcast(machine)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [row.values.to_numpy() for row in batch.column("terms")]
+            low = sent.value.scores(rows) < settings.caught
+            yield batch.filter(pa.array(low | (batch.column("label").to_numpy() == 0)))
+
+    return found.mapInArrow(run, "label int, terms array<bigint>")
+
+
+def evidence(rows: DataFrame, settings: Settings) -> np.ndarray:
+    """The terms that toxic rows hold more often than clean ones, beyond chance; none without both labels.
+
+    They come to the driver; the bounded sample's texts bound them.
+    """
+    n1, n = rows.agg(F.coalesce(F.sum("label"), F.lit(0)), F.count("*")).first()
     if not 0 < n1 < n:
-        return Machine(0.0, np.zeros(0, np.int64), np.zeros(0), np.zeros((0, settings.factors)))
+        return np.zeros(0, np.int64)
     n, n1 = F.lit(float(n)), F.lit(float(n1))
-    counts = found.select("label", F.explode("terms").alias("term")).groupBy("term").agg(
+    counts = rows.select("label", F.explode("terms").alias("term")).groupBy("term").agg(
         F.count("*").cast("double").alias("df"), F.sum("label").cast("double").alias("pos"))
     gap = F.col("pos") * n - F.col("df") * n1
     chi2 = gap * gap * n / (F.col("df") * (n - F.col("df")) * n1 * (n - n1))
-    chosen = counts.where((F.col("df") >= settings.least_df) & (F.col("df") < n)).withColumn("chi2", chi2).where(
-        (F.col("chi2") >= settings.least_chi2) & (gap > 0)).orderBy(F.desc("chi2"), "term").limit(settings.features)
-    terms = np.sort(np.array([r["term"] for r in chosen.select("term").collect()], np.int64))
+    chosen = counts.where(F.col("df") < n).where((gap > 0) & (chi2 >= settings.least_chi2))
+    return np.sort(np.array([r["term"] for r in chosen.select("term").collect()], np.int64))
+
 
+def fitted(found: DataFrame, terms: np.ndarray, settings: Settings) -> Machine:
+    """The machine over these terms; one task fits the bounded sample, and the bounded model comes back."""
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, marks = [], []
         for batch in batches:
@@ -159,7 +194,6 @@ def train(docs: DataFrame, labels: DataFrame, label: str, settings: Settings = S
             yield pa.RecordBatch.from_arrays(
                 [pa.array([machine.bias]), pa.array([machine.weights]), pa.array([machine.vectors.ravel()])], ["bias", "weights", "vectors"])
 
-    # One task fits the bounded sample; what comes back is the bounded model.
     model = found.coalesce(1).mapInArrow(learn, "bias double, weights array<double>, vectors array<double>").first()
     return Machine(model["bias"], terms, np.array(model["weights"]), np.array(model["vectors"]).reshape(len(terms), settings.factors))
 

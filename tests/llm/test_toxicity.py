@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import zlib
 
 import duckdb
 import numpy as np
@@ -16,6 +17,10 @@ def rows_of(texts):
     return [toxicity.hashed_terms(t) for t in texts]
 
 
+def toxicity_held_out(k):
+    return zlib.crc32(str(k).encode()) % 3 == 1
+
+
 def test_pairs_are_scored_as_the_sum_over_all_pairs():
     random_ = np.random.default_rng(0)
     terms = np.sort(random_.integers(-2**62, 2**62, 9))
@@ -53,11 +58,13 @@ def test_training_and_scoring_whole_texts(spark):
         labels.append((k, int(bad)))
     docs += [(1000, " ".join(chance.choice(plain) for _ in range(30_000)) + " wretch"), (1001, None), (1002, ""), (1003, "Wretch"), (1003, "Wretch"), (None, "wretch")]
     df = spark.createDataFrame(docs, "doc_id bigint, text string").selectExpr("*", "1 label", "2 terms")
-    marks = spark.createDataFrame([*labels, (1001, 1), (None, 1), (7, None), (5000, 1)], "doc_id bigint, toxic int")
+    unseen = [k for k, _ in labels if k % 5 == 2 or toxicity_held_out(k)]
+    taught = [x for x in labels if x[0] not in unseen]
+    marks = spark.createDataFrame([*taught, (1001, 1), (None, 1), (7, None), (5000, 1)], "doc_id bigint, toxic int")
     machine = toxicity.model_for(df, marks)
     got = {r.doc_id: r.toxic_score for r in toxicity.score(df, machine).collect()}
     truth = dict(labels)
-    unseen = [k for k in truth if k % 1 == 0]
+    assert len(unseen) > 200 and sum(truth[k] for k in unseen) > 50
     assert all((got[k] >= 0.7) == bool(truth[k]) for k in unseen)
     assert got[1000] >= 0.7 and got[1003] >= 0.7 and got[None] >= 0.7
     assert got[1001] == got[1002] < 0.5
@@ -72,8 +79,6 @@ def test_without_both_labels_every_score_is_one_half(spark):
 
 
 def test_held_out_rows_follow_the_checksum_and_are_predicted(spark):
-    import zlib
-
     sf = "/root/testdata/sf0.01"
     rows = queries.QUERIES["op7_toxicity"](spark, sf).collect()
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) and 0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for r in rows)
@@ -85,3 +90,24 @@ def test_held_out_rows_follow_the_checksum_and_are_predicted(spark):
     assert sum(s >= 0.7 for s in toxic) >= 0.6 * len(toxic)
     wins = sum((t > r.score) + 0.5 * (t == r.score) for t in toxic for r in clean)
     assert wins / len(toxic) / len(clean) > 0.8
+
+
+def test_an_insult_that_only_a_mention_makes_toxic_is_learnt_through_train(spark):
+    """By itself the insult is harmless in 500 texts and the mention in 1,000; 100 texts with both are toxic, 400 others by a slur."""
+    chance = random.Random(1)
+    plain = [f"{a}{b}{c}" for a in "bcdfghjklm" for b in "aeiou" for c in ("ran", "lit", "mos", "ker")]
+
+    def text(*more):
+        words = chance.choices(plain, k=30) + list(more)
+        chance.shuffle(words)
+        return " ".join(words)
+
+    kinds = [(("idiotic", "foreigner"), 1, 100), (("idiotic",), 0, 500), (("foreigner",), 0, 1000), (("slurword",), 1, 400), ((), 0, 400)]
+    rows = [(text(*more), label) for more, label, count in kinds for _ in range(count)]
+    docs = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(rows)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(k, label) for k, (_, label) in enumerate(rows)], "doc_id bigint, toxic int")
+    machine = toxicity.train(docs, labels, "toxic")
+    # Fresh texts of each kind, none of which was seen.
+    for more, label, _ in kinds:
+        scores = machine.scores(rows_of([text(*more) for _ in range(200)]))
+        assert ((scores >= 0.7) == bool(label)).mean() >= 0.99, more
