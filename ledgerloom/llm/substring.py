@@ -4,15 +4,15 @@ A window is ``window`` consecutive words. Winnowing picks each window's anchor,
 ``seed``-word runs of least hash, so equal windows have equal anchors at equal offsets. Neighbouring
 windows with one anchor form a stretch: the anchor extended both ways as far as it is chosen.
 
-Documents meet on anchors that occur more than once. Stretches that agree word for word (by a second
-hash) repeat as a whole: all but the first place are removed. What is left are first places of
+Documents meet on anchors that occur more than once. Stretches that agree in a second hash, of all their words
+and of the anchor's place among them, repeat as a whole: all but the first place are removed. What is left are first places of
 stretches whose anchor also stands in a different stretch, as at the edges of shared passages. They
 are extended window by window: the text is read again, and each of their windows is matched with
 windows of equal content. Matches on neighbouring starts together are the maximal repeats, at least
 ``window`` words long, and what they cover is removed.
 
 Groups are reduced by minima that are combined before the shuffle, and joined back by Spark, which splits
-crowded keys; no pairs of places are formed. Two 64-bit hashes name a stretch or window.
+crowded keys; no pairs of places are formed. Two 64-bit hashes name a stretch or window; words are not compared.
 
 Defined results: null and empty texts have no words. Windows are judged on the input, so a first place
 stays whole. Rows that repeat a document are judged alike; places of one id at one position are one
@@ -163,7 +163,8 @@ def repeats(docs: DataFrame, window: int = 20, seed: int = 6) -> DataFrame:
 
     windows = scratch.save(windows_table(named.join(open_rows, "doc_id"), window), "windows")
     edges = later_places(scratch, windows, "content").select("doc_id", "start", (F.col("start") + window).alias("stop"))
-    spans = whole.unionByName(edges.distinct()).groupBy("doc_id").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+    # Rows that repeat an id name the same places; combined per task, each place is kept once.
+    spans = whole.unionByName(edges).groupBy("doc_id").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
     spans = scratch.save(spans, "spans")
     for name in ("shared", "first-stretch", "open", "windows", "first-content", "whole"):
         scratch.drop(name)

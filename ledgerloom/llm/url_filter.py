@@ -15,7 +15,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.tables import Scratch, prepare
@@ -24,6 +24,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 TOKEN = "[A-Za-z0-9]+"
 #: The token of rules without a literal; no URL token is empty, and every URL looks it up.
 ALWAYS = ""
+RULES = "name string, verdict string, pattern string, tokens array<string>, listed boolean"
 
 
 @dataclass(frozen=True)
@@ -65,9 +66,13 @@ LISTED = [
 PATTERNS = [
     pattern_rule("farm host", "block", r"^(?:[^/]*\.)?(?:spam|link|content)-farm\.", ("farm",)),
     pattern_rule("casino host", "block", r"^(?:[^/]*[.-])?casino[.-]", ("casino",)),
-    pattern_rule("bets host", "block", r"^(?:[^/]*[.-])?bets?[.-]", ()),
-    pattern_rule("adult host", "block", r"^(?:[^/]*[.-])?(?:adult|xxx)-videos?[.-]", ()),
-    pattern_rule("session path", "block", r"^[^/]*/(?:.*/)?(?:sid|sessionid)/[0-9a-f]{16,}", ()),
+    # One rule per alternative, so that each has a literal token.
+    pattern_rule("bets host", "block", r"^(?:[^/]*[.-])?bet[.-]", ("bet",)),
+    pattern_rule("bets host", "block", r"^(?:[^/]*[.-])?bets[.-]", ("bets",)),
+    pattern_rule("adult host", "block", r"^(?:[^/]*[.-])?adult-videos?[.-]", ("adult",)),
+    pattern_rule("adult host", "block", r"^(?:[^/]*[.-])?xxx-videos?[.-]", ("xxx",)),
+    pattern_rule("session path", "block", r"^[^/]*/(?:.*/)?sid/[0-9a-f]{16,}", ("sid",)),
+    pattern_rule("session path", "block", r"^[^/]*/(?:.*/)?sessionid/[0-9a-f]{16,}", ("sessionid",)),
 ]
 
 
@@ -81,48 +86,60 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1)
 
 
-def rule_index(urls: DataFrame, rules: list[Rule]) -> DataFrame:
-    """One row per rule with the token it is filed under.
+def rule_table(spark: SparkSession, rules: list[Rule]) -> DataFrame:
+    """Rules as a table (name, verdict, pattern, tokens, listed), as ``judge`` takes it."""
+    return spark.createDataFrame([(r.name, r.verdict, r.pattern, list(r.tokens), r.listed) for r in rules], RULES)
 
-    Token frequencies are counted over all urls; only tokens that rules name are counted, so what
-    reaches the driver is bounded by the rule list.
+
+def rule_index(urls: DataFrame, rules: DataFrame) -> DataFrame:
+    """One row per rule with the token it is filed under: of its tokens the one that fewest urls hold, then the smallest.
+
+    Tokens are counted over all urls, those that no rule names left out before the count.
     """
-    spark = urls.sparkSession
-    named = sorted({t for r in rules for t in r.tokens})
-    seen: dict[str, int] = {}
-    if named:
-        wanted = spark.createDataFrame([(t,) for t in named], "token string")
-        held = urls.select(F.explode("tokens").alias("token")).groupBy("token").count()
-        seen = {r["token"]: r["count"] for r in held.join(wanted, "token").collect()}
-    rows = [(min(r.tokens, key=lambda t: (seen.get(t, 0), t)) if r.tokens else ALWAYS, r.name, r.verdict, r.pattern, r.listed) for r in rules]
-    return spark.createDataFrame(rows, "token string, name string, rule_verdict string, pattern string, listed boolean")
-
-
-def judge(pages: DataFrame, rules: list[Rule] | None = None, default: str = "allow", page_id: str = "page_id", url: str = "url") -> DataFrame:
+    each = rules.select("name", "verdict", "pattern", "listed", F.explode_outer("tokens").alias("token"))
+    wanted = each.where("token is not null").select("token").distinct()
+    counted = urls.select(F.explode("tokens").alias("token")).join(wanted, "token", "left_semi").groupBy("token").count()
+    filed = each.join(counted, "token", "left").groupBy("name", "verdict", "pattern", "listed").agg(
+        F.min(F.when(F.col("token").isNotNull(), F.struct(F.coalesce("count", F.lit(0)).alias("held"), "token"))).alias("rarest"))
+    return filed.select(F.coalesce("rarest.token", F.lit(ALWAYS)).alias("token"), "name", F.col("verdict").alias("rule_verdict"), "pattern", "listed")
+
+
+def fetched(places: DataFrame, index: DataFrame) -> DataFrame:
+    """Each place with the rules that its tokens fetch; only these run their expressions."""
+    return places.select("host", "path", "place", F.explode("tokens").alias("token")).join(index, "token")
+
+
+def with_tokens(places: DataFrame) -> DataFrame:
+    """Adds ``tokens``, the distinct ones of ``place`` and the one that every URL looks up."""
+    tokens = F.array_distinct(F.regexp_extract_all("place", F.lit(f"({TOKEN})"), 1))
+    return places.withColumn("tokens", F.concat(F.array(F.lit(ALWAYS)), tokens))
+
+
+def judge(pages: DataFrame, rules: list[Rule] | DataFrame | None = None, default: str = "allow", page_id: str = "page_id", url: str = "url") -> DataFrame:
     """page_id, host, path, rule, verdict and the name of the deciding pattern for every row.
 
     ``rule`` is the listed rule that won, else null; without one the verdict is that of the longest
-    pattern rule that fits, else ``default``. Distinct urls are judged once; a url that many rows
-    share is joined back by Spark, which splits such a key.
+    pattern rule that fits, else ``default``. ``rules`` is a list or a table as ``rule_table`` makes it, of any size.
+    Distinct urls are judged once; a url that many rows share is joined back by Spark, which splits such a key.
     """
-    prepare(pages.sparkSession)
-    rules = (LISTED + PATTERNS) if rules is None else rules
+    spark = pages.sparkSession
+    prepare(spark)
+    if not isinstance(rules, DataFrame):
+        rules = rule_table(spark, (LISTED + PATTERNS) if rules is None else rules)
     rows = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"))
     named = rows.withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))})
     places = named.select("host", "path").distinct().withColumn("place", F.concat("host", "path"))
-    tokens = F.array_distinct(F.regexp_extract_all("place", F.lit(f"({TOKEN})"), 1))
-    places = places.withColumn("tokens", F.concat(F.array(F.lit(ALWAYS)), tokens))
-
-    index = rule_index(places, rules)
-    fetched = places.select("host", "path", "place", F.explode("tokens").alias("token")).join(index, "token")
-    fits = fetched.where(F.expr("place rlike pattern"))
+    places = with_tokens(places)
+    index = Scratch(spark, "url-rules").save(rule_index(places, rules), "index")
+    fits = fetched(places, index).where(F.expr("place rlike pattern"))
     # Longest name first, then the smaller name: the order of a struct's fields.
     rank = F.struct(-F.length("name"), F.col("name"), F.col("rule_verdict"))
     best = fits.groupBy("host", "path").agg(
         F.min(F.when(F.col("listed"), rank)).alias("listed"), F.min(F.when(~F.col("listed"), rank)).alias("free"),
     )
-    best = Scratch(pages.sparkSession, "urls").save(best, "best")
-    return named.join(best, ["host", "path"], "left").select(
+    best = Scratch(spark, "urls").save(best, "best")
+    # Sorted and merged: the file's size tells too little of the rows', which grow with the urls, to send them to all tasks.
+    return named.join(best.hint("merge"), ["host", "path"], "left").select(
         "page_id", "host", "path", F.col("listed.name").alias("rule"),
         F.coalesce("listed.rule_verdict", "free.rule_verdict", F.lit(default)).alias("verdict"),
         F.when(F.col("listed").isNull(), F.col("free.name")).alias("pattern"),

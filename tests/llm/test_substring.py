@@ -71,3 +71,21 @@ def test_nulls_repeats_and_missing_ids(spark):
     got = sorted(((r.doc_id or 0, r.n_words, r.n_removed) for r in substring.without_repeats(df).collect()))
     assert got == [(0, 30, 0), (1, 30, 0), (1, 30, 0), (2, 0, 0), (3, 0, 0), (4, 60, 60), (5, 0, 0)]
     assert substring.without_repeats(df.limit(0)).count() == 0
+
+
+def test_rows_that_repeat_an_id_name_every_place_once(spark):
+    words = " ".join(f"w{k}" for k in range(70))
+    df = spark.createDataFrame([(1, words)] + [(2, words + " " + words)] * 400, "doc_id bigint, text string")
+    spans = {r.doc_id: len(r.spans) for r in substring.repeats(df).collect()}
+    assert spans.keys() == {2} and spans[2] < 60
+    got = substring.without_repeats(df).collect()
+    assert {(r.doc_id, r.n_words, r.n_removed) for r in got} == {(1, 70, 0), (2, 140, 140)} and len(got) == 401
+
+
+def test_a_very_long_text(spark):
+    random.seed(9)
+    words = [f"w{random.randrange(3000)}" for _ in range(60_000)]
+    long = " ".join(words + words[20_000:20_500])
+    texts = {3: long, 4: " ".join(words[100:180])}
+    df = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    assert found(substring.without_repeats(df).collect()) == brute_force(texts)
