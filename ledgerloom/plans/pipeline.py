@@ -20,7 +20,7 @@ from ledgerloom.plans.control import ControlError, ControlTables
 from ledgerloom.plans.quality import union_all
 from ledgerloom.session import run_together, use_utc
 from ledgerloom.sources import bronze, landing
-from ledgerloom.sources.store import TableStore, layer_path
+from ledgerloom.sources.store import TableStore, key_bucket, layer_path
 from ledgerloom.specs import ENTITIES
 
 
@@ -77,8 +77,9 @@ def utc_now() -> datetime:
 class Pipeline:
     """A stored warehouse of one pipeline under ``root``."""
 
-    def __init__(self, spark: SparkSession, root: str, name: str = specs.DEFAULT_PIPELINE):
-        self.spark, self.name = use_utc(spark), name
+    def __init__(self, spark: SparkSession, root: str, name: str = specs.DEFAULT_PIPELINE, key_buckets: int = 16):
+        """``key_buckets``: of each table of newest versions; a day rewrites only those that its keys fall in."""
+        self.spark, self.name, self.key_buckets = use_utc(spark), name, key_buckets
         self.store = TableStore(spark, root)
         self.control = ControlTables(self.store, name)
 
@@ -124,8 +125,11 @@ class Pipeline:
         """
         if not self.store.exists("newest", entity):
             return self.bronze(entity)
-        waiting = self.control.batches().where("status = 'ingested'")
-        return self.store.read("newest", entity).unionByName(self._published(entity, waiting))
+        return self.store.read("newest", entity).unionByName(self._waiting(entity))
+
+    def _waiting(self, entity: str) -> DataFrame:
+        """Rows of published batches that are not completed yet."""
+        return self._published(entity, self.control.batches().where("status = 'ingested'"))
 
     def read(self, layer: str, table: str) -> DataFrame:
         if layer == "bronze":
@@ -233,10 +237,19 @@ class Pipeline:
     def rebuild(self) -> None:
         """Store the newest versions, then rebuild everything above them.
 
-        The clean tables and the report both read the stored newest versions.
+        The clean tables and the report both read the stored newest versions. Their buckets in which no key of a waiting
+        batch falls are neither read nor written.
         """
         def merge(name: str, spec: specs.EntitySpec) -> None:
-            self.store.write(newest_version(self.unmerged_versions(name), spec), "newest", name)
+            if self.store.bucket_count("newest", name) != self.key_buckets:
+                self.store.write_buckets(newest_version(self.unmerged_versions(name), spec), "newest", name, spec.key, self.key_buckets)
+                return
+            fresh = self._waiting(name)
+            # At most as many as there are buckets.
+            touched = [r[0] for r in fresh.select(key_bucket(spec.key, self.key_buckets)).distinct().collect()]
+            if touched:
+                held = self.store.read("newest", name, buckets=touched).unionByName(fresh)
+                self.store.write_buckets(newest_version(held, spec), "newest", name, spec.key, self.key_buckets, touched)
 
         run_together([partial(merge, n, s) for n, s in ENTITIES.items()])
         build_layers(self.read, self.store.write)

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 POINTER = "_current"
+BUCKET = "key_bucket"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -139,9 +142,48 @@ class TableStore:
                 self.files.remove(f"{base}/{old}")
         self._schemas[f"{layer}/{name}"] = df.schema
 
-    def read(self, layer: str, name: str, schema: T.StructType | None = None) -> DataFrame:
+    def read(self, layer: str, name: str, schema: T.StructType | None = None, buckets: list[int] | None = None) -> DataFrame:
+        """The current version; of a bucketed table all buckets, or those named."""
         base = self.path(layer, name)
         version = self.files.read_text(f"{base}/{POINTER}").strip()
         known = schema or self._schemas.get(f"{layer}/{name}")
-        reader = self.spark.read.schema(known) if known else self.spark.read
-        return reader.parquet(f"{base}/{version}")
+        if not version.startswith("{"):
+            return (self.spark.read.schema(known) if known else self.spark.read).parquet(f"{base}/{version}")
+        kept = json.loads(version)
+        known = known or T.StructType.fromJson(kept["schema"])
+        paths = [f"{base}/{v}/{BUCKET}={b}" for b, v in kept["buckets"].items() if buckets is None or int(b) in buckets]
+        return self.spark.read.schema(known).parquet(*paths) if paths else self.spark.createDataFrame([], known)
+
+    def bucket_count(self, layer: str, name: str) -> int:
+        """Into how many buckets a stored table is cut; 0 where it is not."""
+        text = self.files.read_text(f"{self.path(layer, name)}/{POINTER}") if self.exists(layer, name) else ""
+        return json.loads(text)["count"] if text.startswith("{") else 0
+
+    def write_buckets(self, df: DataFrame, layer: str, name: str, key: str, count: int, replaced: list[int] | None = None) -> None:
+        """Replace the ``replaced`` buckets of a table (all, unless named) by those of ``df``; others keep their files.
+
+        The pointer lists the version directory of every bucket, so one rename shows all new buckets at once.
+        Directories that neither the new list nor the one before names are removed.
+        """
+        version, base = f"v-{uuid.uuid4().hex}", self.path(layer, name)
+        text = self.files.read_text(f"{base}/{POINTER}").strip() if self.exists(layer, name) else ""
+        before = json.loads(text)["buckets"] if text.startswith("{") else {}
+        dealt = df.withColumn(BUCKET, key_bucket(key, count))
+        dealt.repartition(BUCKET).write.mode("errorifexists").partitionBy(BUCKET).parquet(f"{base}/{version}")
+        written = {n.split("=")[1] for n in self.files.names(f"{base}/{version}") if n.startswith(f"{BUCKET}=")}
+        stays = {b: v for b, v in before.items() if replaced is not None and int(b) not in replaced}
+        after = stays | dict.fromkeys(written, version)
+        self.files.replace_text(f"{base}/{POINTER}", json.dumps({"count": count, "buckets": after, "schema": df.schema.jsonValue()}))
+        named = {(v, b) for kept in (before, after) for b, v in kept.items()}
+        for old in self.files.names(base):
+            if old.startswith("v-") and old not in (version, text):
+                inside = [n for n in self.files.names(f"{base}/{old}") if n.startswith(f"{BUCKET}=")]
+                gone = [n for n in inside if (old, n.split("=")[1]) not in named]
+                for n in [""] if len(gone) == len(inside) else gone:
+                    self.files.remove(f"{base}/{old}/{n}".rstrip("/"))
+        self._schemas[f"{layer}/{name}"] = df.schema
+
+
+def key_bucket(key: str, buckets: int) -> Column:
+    """The bucket of a raw key; a null key has one too."""
+    return F.pmod(F.xxhash64(F.coalesce(F.col(key), F.lit(""))), F.lit(buckets)).cast("int")

@@ -244,3 +244,70 @@ def test_no_orders_leave_only_unknown_members(spark, tmp_path):
     pipeline.run_date(DAY1, deliver(tmp_path / "in", DAY1, {"customers": [row("customers", "1", DAY1)]}), NOW)
     assert [r.date_key for r in pipeline.read("gold", "dim_date").collect()] == [-1]
     assert pipeline.read("gold", "fact_orders").count() == 0
+
+
+def test_an_older_typed_table_is_loaded_onto(spark, tmp_path):
+    """A raw table without two columns and with typed ones keeps its types; new columns come as text."""
+    pipeline = Pipeline(spark, str(tmp_path / "warehouse"))
+    pipeline.run_date(DAY1, deliver(tmp_path / "incoming", DAY1, first_day()), NOW)
+    path = pipeline.bronze_path("orders")
+    older = pipeline.all_bronze("orders").drop("order_channel", "customer_segment_at_time").withColumn("order_value", F.col("order_value").cast("decimal(12,2)"))
+    older = older.withColumn("attributed_to_promo", F.col("attributed_to_promo").isin("yes"))
+    older.write.parquet(str(tmp_path / "older"), partitionBy=["logical_date", "attempt_id"])
+    pipeline.store.files.remove(path)
+    pipeline.store.files.move(str(tmp_path / "older"), path)
+    assert dict(pipeline.all_bronze("orders").dtypes)["order_channel"] == "string"
+
+    rows = {"orders": [row("orders", "10", DAY2, op="U", customer_id="1", order_value="12.505", order_channel="Push", attributed_to_promo="NO", source_updated_at=f"{DAY2}T01:00:00Z")]}
+    pipeline.run_date(DAY2, deliver(tmp_path / "incoming", DAY2, rows), NOW)
+    stored = dict(pipeline.all_bronze("orders").dtypes)
+    assert (stored["order_value"], stored["attributed_to_promo"], stored["order_channel"]) == ("decimal(12,2)", "boolean", "string")
+    raw = {r.source_updated_at.day: r for r in pipeline.all_bronze("orders").where("order_id = '10'").collect()}
+    assert (raw[1].order_channel, raw[2].order_channel, raw[2].order_value, raw[2].attributed_to_promo) == (None, "Push", Decimal("12.51"), False)
+    assert {t for _, t in pipeline.bronze("orders").select("order_value", "attributed_to_promo").dtypes} == {"string"}
+    silver = {r.order_id: r for r in pipeline.read("silver", "orders").collect()}
+    assert silver[10].order_value == Decimal("12.51") and silver[10].order_channel == "Push" and silver[11].order_value == Decimal("10.00")
+
+    bad = {"orders": [row("orders", "10", DAY3, op="U", customer_id="1", order_value="twelve", source_updated_at=f"{DAY3}T01:00:00Z")]}
+    with pytest.raises(Exception, match="invalid decimal value: twelve"):
+        pipeline.load(DAY3, deliver(tmp_path / "incoming", DAY3, bad), NOW)
+    assert status(pipeline, DAY3) == "failed" and pipeline.bronze("orders").where(F.col("logical_date") == F.lit(DAY3)).count() == 0
+
+
+def test_a_reset_leaves_no_raw_file(spark, tmp_path):
+    pipeline = Pipeline(spark, str(tmp_path / "warehouse"))
+    with pytest.raises(ValueError, match="without confirmation"):
+        pipeline.reset(confirm=False)
+    pipeline.run_date(DAY1, deliver(tmp_path / "incoming", DAY1, first_day()), NOW)
+    open_before = pipeline.bronze("customers")
+    assert list((tmp_path / "warehouse" / "bronze").rglob("*.parquet"))
+    pipeline.reset(confirm=True)
+    assert not list((tmp_path / "warehouse" / "bronze").rglob("*.parquet")) and not (tmp_path / "warehouse" / "gold").exists()
+    with pytest.raises(Exception, match="(?i)not exist|FILE_NOT_EXIST|No such file"):
+        open_before.collect()
+    assert all(pipeline.bronze(e).count() == 0 for e in ENTITIES)
+    pipeline.run_date(DAY1, deliver(tmp_path / "again", DAY1, first_day()), NOW)
+    assert pipeline.bronze("customers").count() == 2 and pipeline.read("gold", "fact_orders").count() == 2
+
+
+def test_a_day_rewrites_only_the_buckets_of_its_keys(spark, tmp_path):
+    pipeline = Pipeline(spark, str(tmp_path / "warehouse"))
+    rows = first_day()
+    rows["customers"] += [row("customers", str(k), DAY1) for k in range(100, 400)]
+    pipeline.run_date(DAY1, deliver(tmp_path / "incoming", DAY1, rows), NOW)
+
+    def files(entity):
+        return {r.f for r in pipeline.store.read("newest", entity).select(F.input_file_name().alias("f")).distinct().collect()}
+
+    before = {e: files(e) for e in ENTITIES}
+    changes = {"customers": [row("customers", "150", DAY2, op="U", last_name="new"), row("customers", "151", DAY2, op="D"), row("customers", "900", DAY2)]}
+    pipeline.run_date(DAY2, deliver(tmp_path / "incoming", DAY2, changes), NOW)
+    after = {e: files(e) for e in ENTITIES}
+    assert len(before["customers"]) == pipeline.key_buckets
+    assert 1 <= len(after["customers"] - before["customers"]) <= 3 and len(before["customers"] & after["customers"]) >= pipeline.key_buckets - 3
+    assert all(after[e] == before[e] for e in ENTITIES if e != "customers")
+    current = {r.customer_id: r.last_name for r in pipeline.read("current", "customers").collect()}
+    assert len(current) == 302 and current["150"] == "new" and "151" not in current and "900" in current
+    # As if everything had been computed anew from the raw layer.
+    whole = {r.customer_id: r.last_name for r in latest_version(pipeline.bronze("customers"), ENTITIES["customers"]).collect()}
+    assert current == whole
