@@ -32,7 +32,7 @@ def test_a_name_is_replaced_to_its_last_word(spark):
     assert kinds == [["name"]] * 7
     for word in ["Juan", "Carlos", "García", "López", "Ludwig", "Beethoven", "Leyen", "Hubert", long, long[31:], "María", "Cruz", "Vega", "Seán", "Brien"]:
         assert not any(word in t for t in texts), word
-    name = r"\p{Lu}\p{L}+".replace(r"\p{Lu}", "[A-Z]").replace(r"\p{L}", "[a-z-]")
+    name = r"\p{Lu}\p{L}+".replace(r"\p{Lu}", "[A-Z]").replace(r"\p{L}", "[A-Za-z-]")  # a surrogate that was drawn again has a hyphen
     for text, shape in zip(texts, ["saw Dr. N N N N today", "hört Herr N van N zu", "Frau von der N kam", "Mr N N left", "Señora N de la N y N vino", "Prof. N N spoke", "Herr N schrieb"], strict=True):
         assert re.fullmatch(re.sub(r"\bN\b", lambda _: name, shape), text), (shape, text)
     # The surname is one entity with and without the words before it.
