@@ -82,3 +82,17 @@ def test_the_report_reads_stored_versions(spark, tables):
     report = w.silver("data_quality_report")
     assert {f"current/{e}" for e in ENTITIES} <= stored(w)
     assert report.agg(F.sum("affected_row_count")).first()[0] > 0
+
+
+def test_streamed_dates_are_made_from_stored_inserts(spark, tables, tmp_path):
+    """Joins and counts that choose sound inserts run once, not again for every date and entity."""
+    from ledgerloom.catalog.queries import streamed_dates
+
+    dates = streamed_dates(warehouse(spark, tables), f"{tmp_path}/sound")
+    for delivered in dates.values():
+        for rows in delivered.values():
+            plan = rows._jdf.queryExecution().optimizedPlan().toString()
+            assert "Join" not in plan and "Aggregate" not in plan and "Relation" in plan
+    first = dates[feeds.DATES[0]]
+    orders = {r.order_id for r in first["orders"].collect()}
+    assert orders and {r.order_id for r in first["order_items"].collect()} <= orders
