@@ -37,6 +37,8 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of smallest id of each component of texts whose sets of five words are similar by 0.8 or more.
 
+    SimHash proposes the links, sketches of the sets those beyond its radius; every link is checked.
+
     Where an id has several texts, the one of smallest digest stays; a row that repeats stays once.
     Documents without an id cannot be named and stay.
     """

@@ -128,3 +128,36 @@ def test_counting_shared_shingles_equals_brute_force():
                 for a, b in links:
                     root[a] = root[b] = min(root[a], root[b])
         assert want == got and len(pairs) > 3
+
+
+def test_fingerprints_propose_links_and_the_check_refuses_some(spark, documents, monkeypatch):
+    """Without sketches, what SimHash proposes is linked where the sets are similar enough: 1 and 3 are 4 and 6 bits from 0."""
+    draw = random.Random(7)
+    base = [f"w{draw.randrange(5000)}" for _ in range(400)]
+    texts = {k: " ".join(words) for k, words in enumerate([base, changed(base, 2, draw), base[::-1], changed(base, 30, draw), base[:3], []])}
+    monkeypatch.setattr(resemblance, "band_keys", lambda shingles: [])
+    asked = []
+    near = resemblance.near_links
+    monkeypatch.setattr(resemblance, "near_links", lambda *a, **k: asked.append(1) or near(*a, **k))
+    assert kept(spark, documents(list(texts.items()))) == [0, 2, 3, 4, 5] and asked
+
+
+def test_buckets_give_their_rows_once_across_batches(spark):
+    draw = random.Random(8)
+    rows = [(key, node, node % 7) for key in range(60) for node in range(draw.choice((1, 1, 2, 5, 90)))]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        got = resemblance.sharing(spark.createDataFrame(rows, "key bigint, node bigint, size bigint")).collect()
+    finally:
+        prepare(spark)
+    count = {key: sum(r[0] == key for r in rows) for key, _, _ in rows}
+    assert sorted(map(tuple, got)) == sorted((k, n, s, 0, 0) for k, n, s in rows if count[k] > 1)
+
+
+def test_a_sieve_holds_back_only_rows_that_are_not_among_its_own(spark):
+    from ledgerloom.llm.tables import sieve, sifted
+
+    rows = spark.range(3000).selectExpr("if(id % 100 = 7, null, id) as a", "cast(id as string) as word", "id")
+    may, clear = sifted(rows, sieve(rows.where("id % 5 = 0"), "a", "word"), "a", "word")
+    assert may.columns == clear.columns == rows.columns and may.count() + clear.count() == 3000
+    assert may.where("id % 5 = 0").count() == 600 and may.count() < 640
