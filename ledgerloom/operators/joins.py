@@ -6,6 +6,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def unsent(parent: DataFrame) -> DataFrame:
+    """A join's side that grows with the data, never to be sent whole to the driver and all tasks.
+
+    Spark's estimate of a side is a share of its compressed files: a stored key counts as less than two bytes, a hash of a
+    derived row as fewer than its source row has. Whatever the threshold, such a side is then broadcast at many times it.
+    """
+    return parent.hint("merge")
+
+
 def lookup(child: DataFrame, parent: DataFrame, keys: list[str]) -> DataFrame:
     """Left join ``child`` to a ``parent`` that is unique on ``keys``.
 

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from ledgerloom.functions.keys import source_record_hash
 from ledgerloom.functions.parsing import parse_day, parse_utc_timestamp, parse_whole_date, to_stored_type
-from ledgerloom.operators.joins import lookup
+from ledgerloom.operators.joins import lookup, unsent
 from ledgerloom.operators.versions import first_per_key
 from ledgerloom.specs import OPERATIONS, EntitySpec
 
@@ -65,7 +65,7 @@ def new_versions(bronze: DataFrame, batch: DataFrame) -> DataFrame:
     partitions of the batch's dates need reading.
     """
     once = first_per_key(batch, ["source_record_hash"], [F.col("source_row_number"), F.col("file_checksum")])
-    return once.join(bronze.select("source_record_hash"), "source_record_hash", "left_anti")
+    return once.join(unsent(bronze.select("source_record_hash")), "source_record_hash", "left_anti")
 
 
 def operation_counts() -> list[Column]:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ledgerloom.operators import joins
 from ledgerloom.operators import versions as V
 from ledgerloom.plans import quality
+from ledgerloom.sources import bronze
 from ledgerloom.specs import ENTITIES
 
 ORDERS = ENTITIES["orders"]
@@ -171,3 +172,15 @@ def test_presence_always_gives_one_row(spark):
     empty = spark.createDataFrame([], "a int")
     assert [r.a for r in joins.presence(empty).collect()] == [None]
     assert [r.a for r in joins.presence(spark.createDataFrame([(4,)], "a int")).collect()] == [4]
+
+
+def test_hashes_of_raw_rows_are_not_broadcast_by_estimate(spark, tmp_path):
+    """Files of few bytes hold many hashes: the estimate is small, what would be sent is not."""
+    rows = spark.range(40000).select(F.sha2(F.lit("h"), 256).alias("source_record_hash"), F.lit(1).alias("source_row_number"), F.lit("c").alias("file_checksum"))
+    rows.write.parquet(str(tmp_path / "raw"))
+    stored = spark.read.parquet(str(tmp_path / "raw"))
+    offered = spark.createDataFrame([("a" * 64, 2, "c"), ("a" * 64, 3, "c")], "source_record_hash string, source_row_number int, file_checksum string")
+    found = bronze.new_versions(stored, offered.unionByName(stored))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert [(r.source_record_hash, r.source_row_number) for r in found.collect()] == [("a" * 64, 2)]
