@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators import joins
 from ledgerloom.operators import versions as V
-from ledgerloom.plans import quality
+from ledgerloom.plans import quality, validate
 from ledgerloom.sources import bronze
 from ledgerloom.specs import ENTITIES
 
@@ -184,3 +184,42 @@ def test_hashes_of_raw_rows_are_not_broadcast_by_estimate(spark, tmp_path):
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
     assert [(r.source_record_hash, r.source_row_number) for r in found.collect()] == [("a" * 64, 2)]
+
+
+def sent(df) -> bool:
+    return "Broadcast" in df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def stored(spark, tmp_path):
+    """Rows as a stored table, whose size Spark takes from its files."""
+    def write(rows, schema):
+        path = f"{tmp_path}/{len(list(tmp_path.iterdir()))}"
+        spark.createDataFrame(rows, schema).write.parquet(path)
+        return spark.read.schema(schema).parquet(path)
+    return write
+
+
+def test_keys_of_a_batch_are_not_broadcast_by_estimate(stored):
+    """What the stream's checks join: current keys, and the keys that a batch changes."""
+    batch = stored([("1", "U", 2), ("2", "D", 3), ("4", "I", 4)], "order_id string, operation string, source_row_number bigint")
+    known = stored([("1",), ("2",), ("3",)], "business_key string")
+    available = V.available_keys(known, batch, ORDERS)
+    lost = validate.missing_keys(batch, known.where("business_key <> '1'"), ORDERS)
+    assert not sent(available) and not sent(lost)
+    assert sorted(r.business_key for r in available.collect()) == ["1", "3", "4"]
+    assert [r.business_key for r in lost.collect()] == ["1"]
+
+
+def test_parents_of_the_report_are_not_broadcast_by_estimate(stored):
+    current = stored([("1",), ("2",), ("2",), (None,)], "customer_id string")
+    parent = stored([(1,), (3,)], "customer_id bigint")
+    orphans = quality.unmatched_references(current, "customer_id", parent, True)
+    items = stored([(1, True, None), (1, True, 5), (1, True, 5), (2, False, None)], "order_id bigint, attributed_to_promo boolean, promotion_id bigint")
+    orders = stored([(1, True, None), (2, False, None)], "order_id bigint, attributed_to_promo boolean, promotion_id bigint")
+    differs = quality.attribution_mismatch(items, orders)
+    found = joins.lookup(orders, parent.select(F.col("customer_id").alias("order_id")), ["order_id"])
+    counted = joins.unmatched_counts(items, parent.select(F.col("customer_id").alias("order_id")), "order_id")
+    assert not any(map(sent, (orphans, differs, found, counted)))
+    assert {r.reference: r.n_records for r in orphans.collect()} == {"2": 2, None: 1}
+    assert [(r.order_id, r.promotion_id, r.n_records) for r in differs.collect()] == [(1, 5, 2)]
