@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import parsing as P
 from ledgerloom.functions import text as X
+from ledgerloom.operators.joins import unsent
 from ledgerloom.plans.silver import bad_date_range, cleaned_texts
 from ledgerloom.specs import ENTITIES, EntitySpec
 
@@ -106,7 +107,7 @@ def unmatched_references(current: DataFrame, column: str, parent: DataFrame, bla
     # Unreadable references match nothing; distinct negative stand-ins keep them spread out.
     stand_in = -2 - F.pmod(F.xxhash64("reference"), F.lit(1 << 62))
     keyed = counted.withColumn(column, F.coalesce(P.digits_to_bigint(F.col("reference")), stand_in))
-    return keyed.join(parent.select(column), column, "left_anti").select("reference", "n_records")
+    return keyed.join(unsent(parent.select(column)), column, "left_anti").select("reference", "n_records")
 
 
 def counted_check(issue: str, table: str, severity: str, counted: DataFrame) -> DataFrame:
@@ -125,7 +126,7 @@ def attribution_mismatch(order_items: DataFrame, orders: DataFrame) -> DataFrame
     differs = ~F.col("attributed_to_promo").eqNullSafe(F.col("order_attributed")) | ~F.col("promotion_id").eqNullSafe(
         F.col("order_promotion_id")
     )
-    return grouped.join(order, "order_id").where(differs)
+    return grouped.join(unsent(order), "order_id").where(differs)
 
 
 def data_quality_report(current: dict[str, DataFrame], silver: dict[str, DataFrame]) -> DataFrame:
