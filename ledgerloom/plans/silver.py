@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -196,11 +198,16 @@ def line_total(quantity: Column, unit_price: Column) -> Column:
     return (quantity * unit_price).cast("decimal(23,2)")
 
 
-def silver_order_items(current: DataFrame, orders: DataFrame, promotions: DataFrame) -> DataFrame:
-    """Items of surviving orders; revenue only from valid quantity and price."""
-    placed = with_known(typed_order_items(current), orders, "order_id")
+def silver_order_items(
+    current: DataFrame, orders: DataFrame, promotions: DataFrame, store: Callable[[DataFrame], DataFrame] = lambda rows: rows
+) -> DataFrame:
+    """Items of surviving orders; revenue only from valid quantity and price.
+
+    ``store`` may write what the next shuffle reads and give it back as stored, so that shuffles do not add up on disk.
+    """
+    placed = with_known(store(typed_order_items(current)), orders, "order_id")
     placed = placed.where("_known_order_id is not null").drop("_known_order_id")
-    linked = with_known(placed, promotions, "promotion_id")
+    linked = with_known(store(placed), promotions, "promotion_id")
     c = F.col
     found = c("_known_promotion_id")
     clean = linked.select(

@@ -11,6 +11,7 @@ from ledgerloom.catalog.queries import QUERIES
 from ledgerloom.catalog.warehouse import SPLIT, Warehouse, warehouse
 from ledgerloom.operators.versions import latest_version
 from ledgerloom.sources import feeds
+from ledgerloom.sources.store import shared_dir
 from ledgerloom.specs import ENTITIES
 
 
@@ -87,6 +88,24 @@ def test_a_query_of_two_columns_does_not_store_the_items(spark, tmp_path):
     assert sorted(map(str, QUERIES["test_not_null"](spark, tables).collect())) == before and before
 
 
+def test_clean_items_are_stored_in_steps(spark, tables):
+    """The newest versions, the lookup of orders and that of promotions are statements of their own; no step stays."""
+    w = Warehouse(spark, tables)
+    want = sorted(map(str, w.build("silver", "order_items").collect()))
+    write, written = w.store.write, {}
+
+    def kept(df, layer, name):
+        written[name] = df
+        write(df, layer, name)
+
+    w.store.write = kept
+    w.write("silver", ["order_items"])
+    plan = written["order_items"]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1 and "unhex" not in plan
+    assert sorted(map(str, w.read("silver", "order_items").collect())) == want and want
+    assert not [n for n in w.store.files.names(f"{shared_dir(spark)}/ledgerloom") if n.startswith("items-")]
+
+
 def test_large_splits_are_cut_and_small_ones_kept(spark, tables):
     name = "spark.sql.files.maxPartitionBytes"
     try:
