@@ -299,6 +299,8 @@ _open_lock = threading.Lock()
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     """The application's warehouse over a directory of driver tables."""
     read_finely(use_utc(spark), SPLIT)
+    # Shuffle files go when their statement ends, not when the driver happens to collect its garbage.
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     with _open_lock:
         if key not in _open:

@@ -106,6 +106,17 @@ def test_clean_items_are_stored_in_steps(spark, tables):
     assert not [n for n in w.store.files.names(f"{shared_dir(spark)}/ledgerloom") if n.startswith("items-")]
 
 
+def test_shuffle_files_go_with_their_statement(spark, tables):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, "false")
+        warehouse(spark, tables)
+        assert spark.conf.get(name) == "true"
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_large_splits_are_cut_and_small_ones_kept(spark, tables):
     name = "spark.sql.files.maxPartitionBytes"
     try:
